@@ -214,31 +214,61 @@ def unascending(b: bytes) -> np.ndarray:
         return np.cumsum(widen(b), dtype=np.uint64)
 
 
-CHUNK = "chunk long, n_words long, ids array<long>, lengths binary, blob binary"
+CHUNK = "chunk long, n_words long, rest binary, lengths binary, blob binary"
 
 
-def chunks(df: DataFrame, chunk_bytes: int) -> DataFrame:
-    """Rows of many whole documents each: their ids, byte lengths and compressed texts.
+def chunks(df: DataFrame, chunk_bytes: int, text: str = "text") -> DataFrame:
+    """Rows of many whole documents each: their other columns, byte lengths (-1: null) and compressed texts.
 
-    A chunk's number comes from the input partition and the place in it, so a task that runs again after a
-    loss gives the same chunks as long as its input has the same order (a file scan or a checkpoint has).
+    A chunk's number comes from the input partition and the place in it. The result is checkpointed, so later passes
+    see the same chunks whatever executors are lost.
     """
+    others = [c for c in df.columns if c != text]
+    df = df.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)), F.col(f"`{text}`").cast("string").alias("text"))
+    place = len(others)
 
     def run(batches):
         from pyspark import TaskContext
 
+        def turned():
+            for b in batches:
+                own = b.select([*range(place), place])
+                yield own.select([0, place, *range(1, place)]) if place else pa.RecordBatch.from_arrays([own.column(0), own.column(0)], ["none", "text"])
+
         part = TaskContext.get().partitionId() << 32
-        for k, table in enumerate(gathered(batches, chunk_bytes)):
+        for k, table in enumerate(gathered(turned(), chunk_bytes)):
             buf, off = buffers(table.column(1))
-            n = len(words(buf, off)[0])
-            yield pa.RecordBatch.from_pydict({"chunk": pa.array([part + k], pa.int64()), "n_words": pa.array([n], pa.int64()), "ids": pa.array([table.column(0).to_pylist()], pa.list_(pa.int64())), "lengths": pa.array([squeeze(np.diff(off))], pa.binary()), "blob": pa.array([squeeze(buf)], pa.binary())})
+            lengths = np.where(table.column(1).is_null().to_numpy(), -1, np.diff(off))
+            rest = pa.BufferOutputStream()
+            with pa.ipc.new_stream(rest, (kept := table.drop_columns([table.column_names[1]])).schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_table(kept)
+            yield pa.RecordBatch.from_pydict({"chunk": pa.array([part + k], pa.int64()), "n_words": pa.array([len(words(buf, off)[0])], pa.int64()), "rest": pa.array([rest.getvalue().to_pybytes()], pa.binary()), "lengths": pa.array([narrow(lengths + 1)], pa.binary()), "blob": pa.array([squeeze(buf)], pa.binary())})
+
+    return saved(df.mapInArrow(run, CHUNK))
+
+
+class Chunk:
+    """A row of chunks: texts' bytes and offsets, nulls, and the other columns."""
+
+    def __init__(self, row: dict):
+        lengths = widen(row["lengths"]).astype(np.int64) - 1
+        self.null = lengths < 0
+        self.offsets = np.concatenate([[0], np.cumsum(np.maximum(lengths, 0))])
+        self.buf = unsqueeze(row["blob"], np.uint8)
+        self.number = row["chunk"]
+        self._rest = row["rest"]
+
+    @property
+    def rest(self) -> pa.Table:
+        return pa.ipc.open_stream(self._rest).read_all()
+
 
-    return text_frame(df).mapInArrow(run, CHUNK)
+def bits_of(a: np.ndarray) -> bytes:
+    return squeeze(np.packbits(a))
 
 
-def chunk_texts(row: dict) -> tuple[np.ndarray, np.ndarray]:
-    off = np.concatenate([[0], np.cumsum(unsqueeze(row["lengths"], np.int64))])
-    return unsqueeze(row["blob"], np.uint8), off
+def bits_from(b: bytes, n: int) -> np.ndarray:
+    return np.unpackbits(unsqueeze(b, np.uint8), count=n).astype(bool)
 
 
 def shuffle_count(spark: SparkSession) -> int:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprint, langid, media, packing, pieces, pii, secrets
+from . import fingerprint, langid, media, packing, pieces, pii, secrets, simhash, substring
 from .common import documents
 
 
@@ -14,6 +14,14 @@ def op1_media_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.op1(documents(spark, sf_dir))
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.op2(documents(spark, sf_dir))
+
+
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.op3(documents(spark, sf_dir))
+
+
 def op4_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.segment(documents(spark, sf_dir), n=4)
 
@@ -38,5 +46,5 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_media_chunks, op4_nbest_pieces, op5_pack_tokens, op6_bottom_k, op7_personal_data, op9_language, op10_secrets)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_media_chunks, op2_simhash, op3_repeats, op4_nbest_pieces, op5_pack_tokens, op6_bottom_k, op7_personal_data, op9_language, op10_secrets)}
 ORACLE_SQL: dict[str, str] = {}
