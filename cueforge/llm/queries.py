@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprint, langid, media, packing, pieces, pii, secrets, simhash, substring
+from . import fingerprint, katz, langid, media, packing, pieces, pii, secrets, simhash, substring
 from .common import documents
 
 
@@ -38,6 +38,10 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(documents(spark, sf_dir))
 
 
+def op8_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.op8(documents(spark, sf_dir))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.op9(documents(spark, sf_dir))
 
@@ -46,5 +50,5 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_media_chunks, op2_simhash, op3_repeats, op4_nbest_pieces, op5_pack_tokens, op6_bottom_k, op7_personal_data, op9_language, op10_secrets)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_media_chunks, op2_simhash, op3_repeats, op4_nbest_pieces, op5_pack_tokens, op6_bottom_k, op7_personal_data, op8_katz, op9_language, op10_secrets)}
 ORACLE_SQL: dict[str, str] = {}
