@@ -7,7 +7,7 @@ unit a forward Viterbi pass gives the best score from its start to every place;
 uses these scores as the exact remaining cost of A*, so paths leave the agenda best first and every popped state lies on
 one of the n best paths. Characters outside the vocabulary fall back to byte pieces, as one edge.
 
-Null and empty texts have the one empty segmentation, score 0. Ties: the path found first, longer last pieces first.
+Null and empty texts have the one empty segmentation, score 0. Ties: longer last pieces first.
 """
 
 from __future__ import annotations
@@ -72,19 +72,21 @@ class Lattice:
         for end in range(1, size + 1):
             own = into[end] = list(self.edges(unit, end))
             forward[end] = max(forward[s] + score for s, score, _ in own)
-        agenda = [(-forward[size], 0, size, 0.0, None)]
+        # of equal totals the state nearest to the start comes first, so ties are gone through one path at a time;
+        # totals are compared in millionths, as sums in another order differ in their last places
+        agenda = [(-round(forward[size], 6), size, 0, 0.0, None)]
         made, out = 1, []
         while agenda and len(out) < n:
-            total, _, at, behind, path = heapq.heappop(agenda)
+            _, at, _, behind, path = heapq.heappop(agenda)
             if at == 0:
                 ids: list[int] = []
                 while path is not None:
                     s, e, piece, path = path
                     ids += self.ids(unit, s, e, piece)
-                out.append((-total, ids))
+                out.append((behind, ids))
                 continue
             for start, score, piece in into[at]:
-                heapq.heappush(agenda, (-(behind + score + forward[start]), made, start, behind + score, (start, at, piece, path)))
+                heapq.heappush(agenda, (-round(behind + score + forward[start], 6), start, made, behind + score, (start, at, piece, path)))
                 made += 1
         return out
 

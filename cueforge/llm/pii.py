@@ -145,7 +145,7 @@ def added(text: str, base: list[list[tuple[int, int]]]) -> list[list[tuple[int,
         for a, b in spans:
             s, e = start[a], end[b - 1]
             i = bisect_left(starts, e)
-            if any(new[a:b]) and not (i and base[k][i - 1][1] > s):
+            if (any(new[a:b]) or e - s != b - a) and not (i and base[k][i - 1][1] > s):
                 more[k].append((s, e))
     return more
 
