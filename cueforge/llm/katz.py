@@ -12,8 +12,8 @@ With both, a chunk evaluates its documents token by token. A history with more t
 them) is dealt out by continuation instead, and its sums are put together from all ranges. Sums over the corpus stay in
 tables; the driver gets only totals and at most HOT histories.
 
-Null texts are empty: one end token. Rows without a doc_id are training rows. A corpus without training rows gives every
-token the base probability 0.1 / (0.1 (V + 1)) and a uniform model. Repeated rows each count and are scored each.
+Null texts are empty: one end token. Rows without a doc_id are training rows. Without training rows every token is the one
+unknown word, of probability 1. Repeated rows each count and are scored each.
 """
 
 from __future__ import annotations

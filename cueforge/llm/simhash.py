@@ -210,6 +210,9 @@ def op2(df: DataFrame) -> DataFrame:
 
 def keep_one(df: DataFrame, bits: int = BITS, width: int = WIDTH) -> DataFrame:
     """df with the row of the least doc_id of each group. Rows without doc_id stay; of equal doc_ids one row stays."""
-    kept = components(df, bits, width).filter("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    named = df.filter("doc_id is not null").join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
+    name = "kept_id"
+    while name in df.columns:
+        name += "_"
+    kept = components(df, bits, width).filter("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
+    named = df.filter("doc_id is not null").join(kept, F.col("doc_id") == F.col(name), "left_semi").dropDuplicates(["doc_id"])
     return named.unionByName(df.filter("doc_id is null"))
