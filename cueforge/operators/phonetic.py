@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,7 +34,7 @@ SYLLABLES = {
 
 
 def _groups(groups) -> Column:
-    return F.array(*[F.array(*map(F.lit, g)) for g in groups])
+    return F.from_json(F.lit(json.dumps(groups)), "array<array<string>>")
 
 
 def initial(py: Column | str) -> Column:
@@ -57,8 +59,9 @@ def similar_syllables(a: Column | str, b: Column | str) -> Column:
 
 
 def syllable_map(table: dict[str, str] | None = None) -> Column:
+    """table as one constant of the plan."""
     table = SYLLABLES if table is None else table
-    return F.create_map(*[F.lit(x) for kv in sorted(table.items()) for x in kv]) if table else F.create_map().cast("map<string,string>")
+    return F.from_json(F.lit(json.dumps(table, ensure_ascii=False)), "map<string,string>")
 
 
 def readings(text: Column | str, syllables: Column) -> Column:
