@@ -47,7 +47,7 @@ def _corrections(raw: Column) -> Column:
     def run(raw: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([_correction(r) for r in raw], columns=["corrected", "confidence", "notes", "status", "error"])
 
-    return run(raw)
+    return run.asNondeterministic()(raw)
 
 
 def parse_correction(raw: Column | str, noisy: Column | str, call_error: Column | None = None) -> Column:
@@ -89,7 +89,8 @@ def _fix_lists(raw: Column) -> Column:
     def run(raw: pd.Series) -> pd.Series:
         return pd.Series([_fix_list(r) for r in raw])
 
-    return run(raw)
+    # as in alignment.align_subs
+    return run.asNondeterministic()(raw)
 
 
 def parse_fixes(raw: Column | str) -> Column:

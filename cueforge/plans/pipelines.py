@@ -80,11 +80,11 @@ def fixed(rows: DataFrame, replies: DataFrame, syllables: dict[str, str] | None
     """
     table = SYLLABLES if syllables is None else syllables
     got = rows.join(replies.select(*KEYS, "raw", "error"), KEYS, "left")
-    got = got.withColumn("_fixed", apply_fixes("text", parse_fixes("raw"), syllable_map(table))).withColumn("_refs", joined_texts("refs"))
+    got = got.withColumn("_fixes", parse_fixes("raw")).withColumn("_fixed", apply_fixes("text", "_fixes", syllable_map(table))).withColumn("_refs", joined_texts("refs"))
     got = got.withColumn("_subs", align_subs(F.col("_fixed.text"), "_refs", table))
     new = normalise_pairs(apply_substitutions(F.col("_fixed.text"), "_subs"), "_refs")
     new = F.when(F.col("error").isNotNull() | F.col("_fixed.failed"), F.col("text")).otherwise(new)
-    return got.withColumn("new", new).withColumn("changed", ~F.col("text").eqNullSafe(F.col("new"))).drop("raw", "_fixed", "_refs", "_subs")
+    return got.withColumn("new", new).withColumn("changed", ~F.col("text").eqNullSafe(F.col("new"))).drop("raw", "_fixes", "_fixed", "_refs", "_subs")
 
 
 def fix(noisy: DataFrame, refs: DataFrame, replies: DataFrame, n: int = 5, window_ms: int = 5000, syllables: dict[str, str] | None = None, **rules) -> DataFrame:

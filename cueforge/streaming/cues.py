@@ -10,5 +10,5 @@ from ..sources.srt import parse_cues
 
 def stream_cues(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
     """Cues of every file that comes into folder, each once."""
-    files = spark.readStream.schema("value string").option("wholetext", True).option("maxFilesPerTrigger", files_per_batch).text(folder)
-    return parse_cues(files.select(F.col("_metadata.file_path").alias("file_id"), "value"))
+    files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("maxFilesPerTrigger", files_per_batch).load(folder)
+    return parse_cues(files.select(F.col("path").alias("file_id"), F.decode("content", "UTF-8").alias("value")))
