@@ -14,9 +14,9 @@ def srt(lines):
     return "\n".join(f"{k}\n{clock(a)} --> {clock(b)}\n{t}\n" for k, (a, b, t) in enumerate(lines, 1))
 
 
-NOISY = srt([(0, 2, "他說過重很好"), (2, 4, "文化機開始"), (20, 22, "他在"), (40, 42, "沒有")])
-REFS = srt([(0, 2, "它說國中很好"), (2, 4, "文化祭開始"), (23, 24, "它在")])
-GOLD = srt([(0, 2, "它說國中很好"), (2, 4, "文化祭開始"), (20, 22, "它在"), (40, 42, "沒有")])
+NOISY = srt([(0, 2, "他說過重很好"), (10, 12, "文化機開始"), (20, 22, "他在"), (40, 42, "沒有")])
+REFS = srt([(0, 2, "它說國中很好"), (10, 12, "文化祭開始"), (23, 24, "它在")])
+GOLD = srt([(0, 2, "它說國中很好"), (10, 12, "文化祭開始"), (20, 22, "它在"), (40, 42, "沒有")])
 
 
 def files(spark, text, name="f"):
