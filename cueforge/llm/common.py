@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 #: Most bytes of text that a worker handles at once, unless one text alone is longer.
 SLICE_BYTES = 4 << 20
+BATCH_BYTES = 8 << 20
 #: White space of the word rule [^\x20\x09-\x0D]+; all other bytes, UTF-8 tails included, are word bytes.
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -46,9 +47,17 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """df; from now on Arrow batches between Spark and Python have at most BATCH_BYTES, unless the session sets its own."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if df.sparkSession.conf.get(name) in ("67108864b", "64MB", "64m"):  # the default
+        df.sparkSession.conf.set(name, str(BATCH_BYTES))
+    return df
+
+
 def text_frame(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Only the key and the text, under fixed names, so that other columns can't clash."""
-    return df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return small_batches(df).select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
 
 
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -223,7 +232,7 @@ def chunks(df: DataFrame, chunk_bytes: int, text: str = "text") -> DataFrame:
     A chunk's number comes from the input partition and the place in it. The result is checkpointed, so later passes
     see the same chunks whatever executors are lost.
     """
-    others = [c for c in df.columns if c != text]
+    others = [c for c in small_batches(df).columns if c != text]
     df = df.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)), F.col(f"`{text}`").cast("string").alias("text"))
     place = len(others)
 

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffers, mapped, mix, text_frame
+from .common import buffers, mapped, mix, small_batches, text_frame
 
 DIMENSIONS = 1 << 12
 ORDERS = (1, 2, 3, 4)
@@ -184,7 +184,7 @@ def keep_identified(df: DataFrame, model: Model | None = None, least: float = 0.
     All columns are kept; lang is filled from the prediction where it is null.
     """
     spread = df.sparkSession.sparkContext.broadcast(model or train(df))
-    at, names = df.columns.index("text"), df.columns
+    at, names = small_batches(df).columns.index("text"), df.columns
 
     def run(batches):
         from .common import slices

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import mapped, text_frame
+from .common import mapped, small_batches, text_frame
 
 FINDINGS = 4000
 CONTEXT = 48
@@ -197,7 +197,7 @@ def scan(df: DataFrame, forest: Forest | None = None, threshold: float = 0.5, ke
 def without_secrets(df: DataFrame, forest: Forest | None = None, threshold: float = 0.5, mark: str = "<SECRET>") -> DataFrame:
     """df with each secret in text replaced by mark, and n_chars, where it is a column, set to the new length."""
     spread = df.sparkSession.sparkContext.broadcast(forest or train())
-    names = df.columns
+    names = small_batches(df).columns
 
     def clean(t: str | None) -> str | None:
         if not t:
