@@ -51,4 +51,12 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_media_chunks, op2_simhash, op3_repeats, op4_nbest_pieces, op5_pack_tokens, op6_bottom_k, op7_personal_data, op8_katz, op9_language, op10_secrets)}
-ORACLE_SQL: dict[str, str] = {}
+OP3_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+ win AS (SELECT doc_id, i, md5(array_to_string(words[i : i + 34], ' ')) AS h FROM (SELECT doc_id, words, unnest(range(1, len(words) - 33)) AS i FROM w)),
+ again AS (SELECT h FROM win GROUP BY h HAVING count(*) > 1),
+ gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM win JOIN again USING (h)),
+ word AS (SELECT doc_id, unnest(range(1, len(words) + 1)) AS i, unnest(words) AS word FROM w),
+ kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(w.words) AS BIGINT) AS n_words, CAST(len(w.words) - coalesce(kept.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)"""
+ORACLE_SQL: dict[str, str] = {"op3_repeats": OP3_SQL}
