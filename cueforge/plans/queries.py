@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.strings import apply_substitutions, first_of, latin_runs, length_ratio, normalise_pairs, normalized_levenshtein, without_fences, without_reasoning, without_tags
@@ -20,7 +21,7 @@ from ..operators.replies import apply_fixes, parse_correction, parse_fixes
 from ..sources.sinks import flag_report, render_numbered, render_original_index
 from ..sources.srt import parse_cues, text_only
 from . import pipelines
-from .tables import TRACKS, event_cues, event_times, table
+from .tables import EVENT_TIMES, TRACKS, event_cues, event_times, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -189,16 +190,15 @@ _ADJACENT = "conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b
 
 
 @query(f"""
-WITH p AS (SELECT a.conv_id, a.turn, a.text AS t1, b.text AS t2 FROM {_ADJACENT} WHERE length(a.text) <= 500 AND length(b.text) <= 500 AND NOT regexp_matches(a.text || b.text, '[^\\x00-\\x7F]')),
+WITH p AS (SELECT a.conv_id, a.turn, regexp_replace(a.text, '[^\\x00-\\x7F]', '?', 'g') AS t1, regexp_replace(b.text, '[^\\x00-\\x7F]', '?', 'g') AS t2 FROM {_ADJACENT}),
  d AS (SELECT *, CASE WHEN t1 = t2 THEN 0.0::DOUBLE WHEN t1 = '' OR t2 = '' THEN 1.0::DOUBLE ELSE levenshtein(t1, t2)::DOUBLE / greatest(length(t1), length(t2)) END AS distance FROM p)
 SELECT conv_id, turn, length(t1)::INT AS len1, length(t2)::INT AS len2, distance, 1.0::DOUBLE - distance AS similarity FROM d""")
 def levenshtein_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each turn against the next, where both are ASCII of at most 500 characters: SQL here counts bytes."""
-    c = table(spark, sf_dir, "conversations")
+    """Each turn against the next. Characters beyond ASCII count as one, as SQL here has a distance of bytes only."""
+    c = table(spark, sf_dir, "conversations").withColumn("text", F.regexp_replace("text", r"[^\x00-\x7F]", "?"))
     both = c.select("conv_id", "turn", F.col("text").alias("t1")).join(c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("t2")), ["conv_id", "turn"])
-    short = both.filter("length(t1) <= 500 and length(t2) <= 500").filter(~F.regexp_like(F.concat("t1", "t2"), F.lit(r"[^\x00-\x7F]")))
     d = normalized_levenshtein("t1", "t2")
-    return short.select("conv_id", "turn", F.length("t1").alias("len1"), F.length("t2").alias("len2"), d.alias("distance"), (F.lit(1.0) - d).alias("similarity"))
+    return both.select("conv_id", "turn", F.length("t1").alias("len1"), F.length("t2").alias("len2"), d.alias("distance"), (F.lit(1.0) - d).alias("similarity"))
 
 
 @query("""
@@ -404,19 +404,21 @@ def pipeline_fix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("file_id", "ordinal", F.col("text").alias("old"), "new", "changed")
 
 
-@query("""
-WITH t AS (SELECT doc_id, text FROM documents WHERE length(text) <= 600 AND NOT regexp_matches(text, '[^\\x00-\\x7F]')),
- p AS (SELECT a.doc_id, a.text AS t1, b.text AS t2 FROM t a JOIN t b ON b.doc_id = a.doc_id + 1)
-SELECT 'd' || doc_id AS file1, 'd' || (doc_id + 1) AS file2, length(t1)::INT AS len1, length(t2)::INT AS len2,
- CASE WHEN t1 = t2 THEN 0.0::DOUBLE ELSE levenshtein(t1, t2)::DOUBLE / greatest(length(t1), length(t2)) END AS distance,
- 1.0::DOUBLE - CASE WHEN t1 = t2 THEN 0.0::DOUBLE ELSE levenshtein(t1, t2)::DOUBLE / greatest(length(t1), length(t2)) END AS similarity FROM p""")
+@query(f"""
+WITH times AS ({EVENT_TIMES}), t AS (SELECT e.user_id, event_type, string_agg(text, ' ' ORDER BY start_ms, times.event_id) AS text FROM times JOIN events e USING (event_id, event_type) GROUP BY ALL),
+ p AS (SELECT 'view-' || a.user_id AS file1, 'click-' || b.user_id AS file2, a.text AS t1, b.text AS t2 FROM t a JOIN t b ON a.user_id = b.user_id AND a.event_type = 'view' AND b.event_type = 'click')
+SELECT file1, file2, length(t1)::INT AS len1, length(t2)::INT AS len2, levenshtein(t1, t2)::DOUBLE / greatest(length(t1), length(t2)) AS distance,
+ 1.0::DOUBLE - levenshtein(t1, t2)::DOUBLE / greatest(length(t1), length(t2)) AS similarity FROM p""")
 def pipeline_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Neighbouring short ASCII documents, scored as two files are."""
-    t = table(spark, sf_dir, "documents").select("doc_id", "text").filter("length(text) <= 600").filter(~F.regexp_like("text", F.lit(r"[^\x00-\x7F]")))
-    name = lambda c: F.concat(F.lit("d"), c.cast("string"))
-    first = t.select("doc_id", name(F.col("doc_id")).alias("file1"), F.col("text").alias("text1"))
-    second = t.select((F.col("doc_id") - 1).alias("doc_id"), name(F.col("doc_id")).alias("file2"), F.col("text").alias("text2"))
-    return pipelines.compare(first.join(second, "doc_id"))
+    """Every user's view track against the click track: files written, scanned for their text, and scored."""
+    times = event_times(spark, sf_dir)
+    files = {}
+    for kind in ("view", "click"):
+        cues = times.filter(F.col("event_type") == kind).withColumn("file_id", F.concat_ws("-", "event_type", F.col("user_id").cast("string")))
+        numbered = cues.withColumn("ordinal", F.row_number().over(W.partitionBy("file_id").orderBy("start_ms", "event_id")))
+        files[kind] = text_only(render_numbered(numbered).withColumnRenamed("content", "value")).withColumn("user", F.regexp_extract("file_id", "[0-9]+", 0))
+    first = files["view"].select("user", F.col("file_id").alias("file1"), F.col("text").alias("text1"))
+    return pipelines.compare(first.join(files["click"].select("user", F.col("file_id").alias("file2"), F.col("text").alias("text2")), "user"))
 
 
 @query("SELECT file_id, string_agg(ordinal || chr(10) || t1 || ' --> ' || t2 || chr(10) || text || chr(10), chr(10) ORDER BY ordinal) AS content FROM (VALUES ('m', 1, '00:00:00,000', '00:00:04,349', '你好'), ('m', 2, '00:00:04,349', '01:01:01,500', 'b')) t(file_id, ordinal, t1, t2, text) GROUP BY file_id")

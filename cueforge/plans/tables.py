@@ -14,10 +14,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """event_id, event_type, file_id, start_ms, end_ms, text: seconds since 2024 taken as milliseconds, lasting value * 100."""
+    """event_id, event_type, user_id, file_id, start_ms, end_ms, text: seconds since 2024 taken as milliseconds, lasting value * 100."""
     start = F.timestamp_diff("SECOND", F.expr("timestamp_ntz'2024-01-01 00:00:00'"), "ts").cast("long")
     return table(spark, sf_dir, "events").select(
-        "event_id", "event_type", (F.col("user_id") % FILES).cast("string").alias("file_id"), start.alias("start_ms"),
+        "event_id", "event_type", "user_id", (F.col("user_id") % FILES).cast("string").alias("file_id"), start.alias("start_ms"),
         (start + F.floor(F.col("value") * 100).cast("long")).alias("end_ms"), F.concat_ws("_", "event_type", F.col("event_id").cast("string")).alias("text"),
     )
 
