@@ -108,7 +108,7 @@ class Model:
         return [self.languages[b] if ok else "und" for b, ok in zip(best, letter, strict=True)], score, letter & (gap < AMBIGUOUS)
 
 
-def fit(x: np.ndarray, y: list[str], steps: int = 300, seed: int = 7) -> Model:
+def fit(x: np.ndarray, y: list[str], steps: int = 100, seed: int = 7) -> Model:
     languages = sorted(set(y))
     k = len(languages)
     codes = codewords(k, max(15, 5 * int(np.ceil(np.log2(max(2, k))))), seed)
