@@ -7,26 +7,36 @@ A search adds up the differences on the way down and drops a node, with all that
 `bits`; a node whose fingerprints are all in the searcher's component already is dropped too, so a group of near copies
 costs no pairs. Tasks return a spanning forest, and alternating large-star and small-star steps join the forests.
 
+Near copies by similarity (near_components) take wide fingerprints of five-word shingles. At a similarity of 0.8 these differ
+in 39 of 256 places, too many for blocks of equal places; a task gets its fingerprints by the shingles' least hashes
+instead. KEYS such keys are shared by none of two texts of that similarity once in ten million times.
+
 Null texts are empty; texts without words have fingerprint zero and link like any other. Equal fingerprints are one node,
 whatever number of rows has them. A component's id is the least doc_id that is not null.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffers, mapped, saved, shuffle_count, text_frame
+from .common import M1, M2, buffers, mapped, mix, saved, shuffle_count, span_hashes, text_frame, windows, within, words
 
 BITS = 2
 WIDTH = 3
 SEED = 42
 FAN = 16
+#: Wide fingerprints: 64-bit words, least-hash keys, words of a shingle, and the similarity of near copies.
+WIDE, KEYS, NEAR_WIDTH, SIMILARITY = 4, 10, 5, 0.8
 QUERIES = 1024
 _ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 
 
 def fingerprint(text: bytes, width: int = WIDTH) -> int:
@@ -61,9 +71,12 @@ def fingerprints(df: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def gray_rank(x: np.ndarray) -> np.ndarray:
-    """Place of each code in the order in which neighbours differ in one bit."""
+    """Place of each code (a row of 64-bit words, high ones first) in the order in which neighbours differ in one bit."""
+    x = x.copy()
     for k in (1, 2, 4, 8, 16, 32):
-        x = x ^ (x >> np.uint64(k))
+        x ^= x >> np.uint64(k)
+    for j in range(1, x.shape[1]):
+        x[:, j] ^= np.where(x[:, j - 1] & np.uint64(1), _ALL, np.uint64(0))
     return x
 
 
@@ -74,21 +87,26 @@ def block_edges(bits: int) -> list[tuple[int, int]]:
 
 
 class GrayIndex:
-    """A tree over codes in Gray order. Level 0 are the codes; pattern and rest hold what a node adds to its parent."""
+    """A tree over codes in Gray order. Level 0 are the codes; pattern and rest hold what a node adds to its parent.
+
+    codes: 64-bit words, or rows of them. turn: how many low places of one-word codes come first in the order.
+    """
 
     def __init__(self, codes: np.ndarray, turn: int = 0):
+        codes = codes.reshape(len(codes), -1)
         turned = codes if turn == 0 else (codes << np.uint64(64 - turn)) | (codes >> np.uint64(turn))
-        self.codes = codes[np.argsort(gray_rank(turned), kind="stable")]
-        shared, pattern = [np.full(len(codes), _ALL)], [self.codes]
+        self.order = np.lexsort(gray_rank(turned).T[::-1])
+        self.codes = codes[self.order]
+        shared, pattern = [np.full(codes.shape, _ALL)], [self.codes]
         while len(pattern[-1]) > FAN:
             p, m = pattern[-1], shared[-1]
             at = np.arange(0, len(p), FAN)
-            first = np.repeat(p[at], np.diff(np.append(at, len(p))))
+            first = np.repeat(p[at], np.diff(np.append(at, len(p))), axis=0)
             m = np.bitwise_and.reduceat(m, at) & ~np.bitwise_or.reduceat(p ^ first, at)
             shared.append(m)
             pattern.append(p[at] & m)
         self.pattern = pattern
-        self.rest = [m & ~np.repeat(up, FAN)[: len(m)] for m, up in zip(shared, shared[1:])] + [shared[-1]]
+        self.rest = [m & ~np.repeat(up, FAN, axis=0)[: len(m)] for m, up in zip(shared, shared[1:])] + [shared[-1]]
 
     def components(self, bits: int) -> np.ndarray:
         """For each code in Gray order, the place of the first code of its component under links of at most bits."""
@@ -111,13 +129,13 @@ class GrayIndex:
         top = len(self.pattern) - 1
         nodes = np.arange(len(self.pattern[top]))
         out: list[tuple[np.ndarray, np.ndarray]] = []
-        step = max(1, (1 << 21) // max(1, len(nodes) * FAN))
+        step = max(1, (1 << 21) // max(1, len(nodes) * FAN * self.codes.shape[1]))
         for begin in range(0, len(queries), step):
             own = queries[begin : begin + step]
             q, node = np.repeat(own, len(nodes)), np.tile(nodes, len(own))
-            far = np.zeros(len(q), np.uint8)
+            far = np.zeros(len(q), np.int64)
             for level in range(top, -1, -1):
-                far = far + np.bitwise_count((self.codes[q] ^ self.pattern[level][node]) & self.rest[level][node])
+                far = far + np.bitwise_count((self.codes[q] ^ self.pattern[level][node]) & self.rest[level][node]).sum(1)
                 keep = (far <= bits) & ((node + 1) * FAN**level - 1 > q)
                 if alike:
                     keep &= alike[level][node] != label[q]
@@ -161,7 +179,7 @@ def forest(fps: DataFrame, bits: int = BITS) -> DataFrame:
         for k, parts in held.items():
             index = GrayIndex(np.concatenate(parts), sum(edges[k]) % 64)
             label = index.components(bits)
-            own = index.codes.view(np.int64)
+            own = index.codes[:, 0].copy().view(np.int64)
             # the least code of a component stands for it, so that forests of other tasks meet in few steps
             low = np.full(len(own), np.iinfo(np.int64).max)
             np.minimum.at(low, label, own)
@@ -208,11 +226,91 @@ def op2(df: DataFrame) -> DataFrame:
     return components(df).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(df: DataFrame, bits: int = BITS, width: int = WIDTH) -> DataFrame:
-    """df with the row of the least doc_id of each group. Rows without doc_id stay; of equal doc_ids one row stays."""
+def places_apart(similarity: float, places: int = 64 * WIDE) -> int:
+    """How many places of wide fingerprints may differ at such a share of common shingles, with a margin of 1.25 deviations."""
+    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return int(places * p + 1.25 * math.sqrt(places * p * (1 - p)))
+
+
+def wide_fingerprints(df: DataFrame, width: int = NEAR_WIDTH) -> DataFrame:
+    """doc_id, fp (WIDE 64-bit words as bytes) and keys (the least hashes of the shingles under KEYS orders) of each row."""
+
+    def rows(part: pa.RecordBatch) -> dict:
+        buf, off = buffers(part.column(1))
+        s, e, at = words(_LOWER[buf], off)
+        h = span_hashes(_LOWER[buf], s, e)
+        n = np.diff(at)
+        # shorter texts are one shingle; texts without words have one of their own
+        size = np.maximum(1, n - width + 1)
+        first = np.concatenate([[0], np.cumsum(size)])
+        hashes = np.zeros(first[-1], np.uint64)
+        long = n >= width
+        wide = windows(h, width)
+        hashes[np.repeat(long, size)] = wide[within(len(wide), at, width)]
+        for i in np.flatnonzero(~long & (n > 0)).tolist():
+            hashes[first[i]] = windows(h[at[i] : at[i + 1]], int(n[i]), 3)[0]
+        fp, keys = np.empty((len(n), WIDE), np.uint64), np.empty((len(n), KEYS), np.uint64)
+        with np.errstate(over="ignore"):
+            for j in range(WIDE):
+                mixed = hashes if j == 0 else mix(hashes + np.uint64(j) * M1)
+                bits = np.unpackbits(mixed.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+                count = np.add.reduceat(bits, first[:-1], axis=0, dtype=np.int32)
+                fp[:, j] = np.packbits(count * 2 > size[:, None], axis=1, bitorder="little").view("<u8")[:, 0]
+            for j in range(KEYS):
+                keys[:, j] = np.minimum.reduceat(mix(hashes ^ (np.uint64(j + 1) * M2)), first[:-1]) ^ np.uint64(j)
+        return {"doc_id": part.column(0), "fp": pa.array([r.tobytes() for r in fp], pa.binary()), "keys": pa.array(keys.view(np.int64).tolist(), pa.list_(pa.int64()))}
+
+    return mapped(text_frame(df), rows, "doc_id long, fp binary, keys array<long>", 1 << 21)
+
+
+def near_forest(nodes: DataFrame, bits: int) -> DataFrame:
+    """As forest, for nodes (node, fp, keys) with wide fingerprints: links within bits among nodes that share a key."""
+    keyed = nodes.select("node", "fp", F.explode("keys").alias("key"))
+
+    def run(batches):
+        held = [b.select([0, 1, 2]) for b in batches if b.num_rows]
+        if not held:
+            return
+        table = pa.Table.from_batches(held).combine_chunks()
+        node, key = table.column(0).to_numpy(), table.column(2).to_numpy()
+        code = np.frombuffer(b"".join(table.column(1).to_pylist()), np.uint64).reshape(-1, WIDE)
+        order = np.argsort(key, kind="stable")
+        node, key, code = node[order], key[order], code[order]
+        start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        size = np.diff(np.append(start, len(key)))
+        two = start[size == 2]
+        near = two[np.bitwise_count(code[two] ^ code[two + 1]).sum(1) <= bits]
+        a, b = [node[near]], [node[near + 1]]
+        for at, n in zip(start[size > 2].tolist(), size[size > 2].tolist(), strict=True):
+            index = GrayIndex(code[at : at + n])
+            label = index.components(bits)
+            own = node[at : at + n][index.order]
+            a.append(own[label != np.arange(n)])
+            b.append(own[label[label != np.arange(n)]])
+        a, b = np.concatenate(a), np.concatenate(b)
+        yield pa.RecordBatch.from_pydict({"a": pa.array(np.maximum(a, b)), "b": pa.array(np.minimum(a, b))})
+
+    return keyed.repartition(shuffle_count(nodes.sparkSession), "key").mapInArrow(run, "a long, b long")
+
+
+def near_components(df: DataFrame, similarity: float = SIMILARITY, width: int = NEAR_WIDTH) -> DataFrame:
+    """doc_id and component_id of each row of df, under links of at least that similarity.
+
+    Nodes are known by a 64-bit hash of their fingerprints.
+    """
+    own = saved(wide_fingerprints(df, width).withColumn("node", F.xxhash64("fp")))
+    nodes = saved(own.groupBy("node").agg(F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.min("doc_id").alias("least")))
+    roots = connected(near_forest(nodes, places_apart(similarity)))
+    placed = nodes.select("node", "least").join(roots.withColumnRenamed("node", "linked"), F.col("node") == F.col("linked"), "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+    ids = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+    return own.select("doc_id", "node").join(placed.join(ids, "root").select("node", "component_id"), "node").select("doc_id", "component_id")
+
+
+def keep_one(df: DataFrame, similarity: float = SIMILARITY, width: int = NEAR_WIDTH) -> DataFrame:
+    """df with the row of the least doc_id of each group of near copies. Rows without doc_id stay; of equal doc_ids one row stays."""
     name = "kept_id"
     while name in df.columns:
         name += "_"
-    kept = components(df, bits, width).filter("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
+    kept = near_components(df, similarity, width).filter("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
     named = df.filter("doc_id is not null").join(kept, F.col("doc_id") == F.col(name), "left_semi").dropDuplicates(["doc_id"])
     return named.unionByName(df.filter("doc_id is null"))

@@ -161,13 +161,51 @@ def test_gray_index_links_and_components():
     for turn in (0, 21, 43):
         index = simhash.GrayIndex(codes, turn)
         a, b = index.links(np.arange(len(codes)), 2)
-        c = index.codes
+        c = index.codes[:, 0]
         near = np.bitwise_count(c[:, None] ^ c[None, :]) <= 2
         assert set(zip(a.tolist(), b.tolist())) == {(i, j) for i, j in zip(*np.nonzero(near)) if i < j}
         label = index.components(2)
         want = components_brute(list(range(len(c))), [int(x) for x in c], 2)
         assert label.tolist() == want
-    assert sorted(simhash.gray_rank(np.arange(256, dtype=np.uint64)).tolist()) == list(range(256))
+    assert sorted(simhash.gray_rank(np.arange(256, dtype=np.uint64)[:, None])[:, 0].tolist()) == list(range(256))
+
+
+def test_wide_gray_index():
+    rng = np.random.default_rng(6)
+    seeds = rng.integers(0, 1 << 64, (12, 4), np.uint64)
+    flips = (rng.random((12, 25, 256)) < 0.08).reshape(300, 256)
+    codes = np.repeat(seeds, 25, axis=0) ^ np.packbits(flips, axis=1, bitorder="little").view("<u8")
+    index = simhash.GrayIndex(codes)
+    c = index.codes
+    far = np.bitwise_count(c[:, None] ^ c[None]).sum(2)
+    a, b = index.links(np.arange(300), 46)
+    assert set(zip(a.tolist(), b.tolist())) == {(i, j) for i, j in zip(*np.nonzero(far <= 46)) if i < j}
+    assert (codes[index.order] == c).all() and len(set(index.components(46).tolist())) == len(set(index.components(60).tolist())) == 12
+    ranks = [tuple(r) for r in simhash.gray_rank(c).tolist()]
+    assert ranks == sorted(ranks)
+
+
+def test_near_copies_by_similarity(spark):
+    rng = random.Random(30)
+    texts = [prose(rng, rng.choice([40, 150, 900])) for _ in range(60)]
+    shared = prose(rng, 60)
+    texts += [shared + " " + prose(rng, 200), shared + " " + prose(rng, 200)]
+    n = len(texts)
+    for k in range(60):
+        w = texts[k].split()
+        for at in rng.sample(range(len(w)), max(1, len(w) // 70)):
+            w[at] = "changed"
+        texts.append(" ".join(w))
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_components(docs(spark, texts)).collect()}
+    sh = [{tuple(w[i : i + 5]) for w in [t.split()] for i in range(len(w) - 4)} for t in texts]
+    missed = wrong = pairs = 0
+    for i in range(len(texts)):
+        for j in range(i):
+            s = len(sh[i] & sh[j]) / len(sh[i] | sh[j])
+            pairs += s >= 0.82
+            missed += s >= 0.82 and got[i] != got[j]
+            wrong += s < 0.5 and got[i] == got[j]
+    assert pairs > 40 and missed <= 0.1 * pairs and wrong == 0 and got[n - 1] == n - 1
 
 
 def test_simhash_chains_across_tasks(spark):
@@ -333,6 +371,22 @@ def test_packing(spark):
     assert sorted(seqs) == list(range(len(seqs)))
 
 
+def test_ids_are_the_tokenizers_ids():
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(packing.tokenizer_path())
+    tok.encode_special_tokens = True
+    encoder, rng = packing.Encoder(packing.tokenizer_path()), random.Random(13)
+    some = [chr(c) for c in [*range(9, 14), *range(32, 127), *range(0xA0, 0x250), 0x85, 0x1C, 0x2009, 0x2019, 0x2028, 0x20AC, 0x3000, 0x4E2D, 0x0660, 0x0301, 0x1F600, 0x200B]] + ["the", " and", "'s", "'ll", "  ", "\n\n", "2024", "<|endoftext|>"] * 20
+    for _ in range(1500):
+        t = "".join(rng.choice(some) for _ in range(rng.randint(0, 25)))
+        if rng.random() < 0.6:
+            t = packing.Encoder.plain.sub("", t)
+        assert np.frombuffer(encoder.ids(t), "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, t
+    long = "a" * 50_000
+    assert np.frombuffer(encoder.ids(long), "<u4").tolist() == tok.encode(long, add_special_tokens=False).ids
+
+
 # --- 6
 
 
@@ -397,6 +451,8 @@ def test_pii_base_is_the_patterns():
     ("text", "kind", "found"),
     [
         ("write to jane [at] mail (dot) example [dot] org now", "email", "jane [at] mail (dot) example [dot] org"), ("mail joe at example dot com please", "email", "joe at example dot com"),
+        ("joe_at_example_dot_com", "email", "joe_at_example_dot_com"), ("Joe AT example DOT com", "email", "Joe AT example DOT com"), ("ping 192.l68.O.1O1 ok", "ip", "192.l68.O.1O1"),
+        ("call +1 five five five 010 nine nine nine 9", "phone", "+1 five five five 010 nine nine nine 9"), ("card 4111 1ll1 1111 1111", "card", "4111 1ll1 1111 1111"),
         ("ping １０.０.０.１ ok", "ip", "１０.０.０.１"), ("host 192 dot 168 dot 0 dot 7 up", "ip", "192 dot 168 dot 0 dot 7"), ("mаria@exаmple.com", "email", "mаria@exаmple.com"),
         ("call plus four four two zero seven nine four six zero nine five eight", "phone", "plus four four two zero seven nine four six zero nine five eight"),
         ("card four one one one one one one one one one one one one one one one.", "card", "four one one one one one one one one one one one one one one one"), ("jo​hn@ex​ample.com", "email", "jo​hn@ex​ample.com"),
@@ -407,7 +463,7 @@ def test_pii_disguises(text, kind, found):
     assert found in [text[a:b] for a, b in more]
 
 
-@pytest.mark.parametrize("text", ["we met at noon at the dot", "look at example.com today", "one two three", "at last dot dot dot", "the café at Köln", "two or three of four at five"])
+@pytest.mark.parametrize("text", ["we met at noon at the dot", "look at example.com today", "one two three", "at last dot dot dot", "the café at Köln", "two or three of four at five", "10 Il 2O", "state_of_the_art at_home", "dot-com and co-dot-op"])
 def test_pii_leaves_clean_text(text):
     assert not any(pii.added(text, pii.detect(text))) and not any(pii.detect(text))
 

@@ -12,7 +12,7 @@ def test_stages(spark, tmp_path):
     rng = random.Random(20)
     shared = prose(rng, 60, ("the", "and", "tion", "ing"))
     texts = [prose(rng, 90, ("the", "and", "tion", "ing", "er")) for _ in range(30)]
-    texts += [texts[0], texts[1] + " " + shared, texts[2] + " " + shared, "1234 ###", None, texts[3] + ' token = "f33e61083db5dbdf4bd2369d2f80176e57f7fda2"']
+    texts += [texts[0], texts[1] + " " + shared, texts[2] + " " + shared, "1234 ###", None, prose(rng, 70, ("le", "que", "eau", "tion")) + ' token = "f33e61083db5dbdf4bd2369d2f80176e57f7fda2"']
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert len(names) == 5
     df, seen = docs(spark, texts, langs=["en"] * 30 + [None] * 6), {}
