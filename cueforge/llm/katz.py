@@ -30,13 +30,13 @@ from .substring import ranged
 
 K = 5
 HOT = 1000
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 16 << 20
 RANGE = 1_000_000
 END = np.uint64(0x1F0E5D3C7B9A8642)
 START = np.uint64(0xC6A4A7935BD1E995)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-REQUEST = "range long, chunk long, a binary, b binary, c binary, d binary, e binary"
+REQUEST = "range long, chunk long, a binary, b binary, c binary, d binary, e binary, f binary"
 REPLY = "chunk long, round int, range long, a binary, b binary, c binary, d binary"
 
 
@@ -199,22 +199,13 @@ class Bigrams:
             yield k, slice(a, b), self.heads[i:j]
 
 
-def _six(a: np.ndarray) -> bytes:
-    """The upper 48 bits of hashes, which tell a history's continuations apart."""
-    return np.ascontiguousarray(a.view(np.uint8).reshape(-1, 8)[:, 2:]).tobytes()
-
-
-def _from_six(b: bytes) -> np.ndarray:
-    out = np.zeros((len(b) // 6, 8), np.uint8)
-    out[:, 2:] = np.frombuffer(b, np.uint8).reshape(-1, 6)
-    return out.reshape(-1).view(np.uint64)
-
-
 def _ask(t: Tokens, g: Bigrams, number: int) -> list[tuple]:
     out = []
     for k, own, heads in g.spans():
         sizes = np.diff(np.append(heads, own.stop))
-        out.append((k, number, ascending(g.history[heads]), _six(g.word[own]), narrow(g.count_w[own]), narrow(g.seen[own]), _two(sizes, g.hot[heads])))
+        # words once each, by the upper 48 bits of their hashes: within one history these tell them apart
+        word, first, place = np.unique(g.word[own] >> np.uint64(16), return_index=True, return_inverse=True)
+        out.append((k, number, ascending(g.history[heads]), ascending(word), narrow(g.count_w[own][first]), narrow(g.seen[own]), _two(sizes, g.hot[heads]), narrow(place)))
     return out
 
 
@@ -239,8 +230,10 @@ def _count_bigrams(u: Unigrams, table: pa.Table) -> pa.Table:
         s, f = _sizes(r["e"])
         h = unascending(r["a"])
         size.append(s.astype(np.int64)), head.append(h), hot.append(f.astype(bool)), hist.append(np.repeat(h, s.astype(np.int64)))
-    history, word = np.concatenate(hist), np.concatenate([_from_six(r["b"]) for r in rows])
-    count_w, seen = (np.concatenate([widen(r[c]) for r in rows]).astype(np.int64) for c in "cd")
+    place = [widen(r["f"]).astype(np.int64) for r in rows]
+    history, word = np.concatenate(hist), np.concatenate([unascending(r["b"])[i] for r, i in zip(rows, place, strict=True)])
+    count_w = np.concatenate([widen(r["c"])[i] for r, i in zip(rows, place, strict=True)]).astype(np.int64)
+    seen = np.concatenate([widen(r["d"]) for r in rows]).astype(np.int64)
     order = np.lexsort((word, history))
     h, w = history[order], word[order]
     new = np.ones(len(h), bool)
@@ -326,7 +319,7 @@ def score(df: DataFrame, train, chunk_bytes: int = CHUNK_BYTES, hot: int = HOT)
             for row in batch.to_pylist():
                 t = Tokens(row)
                 count, edges = t.counts(), ranged(t.words, 64, ranges)
-                out = [(k, row["chunk"], ascending(t.words[edges[k] : edges[k + 1]]), narrow(count[edges[k] : edges[k + 1]]), b"", b"", b"") for k in np.flatnonzero(np.diff(edges)).tolist()]
+                out = [(k, row["chunk"], ascending(t.words[edges[k] : edges[k + 1]]), narrow(count[edges[k] : edges[k + 1]]), b"", b"", b"", b"") for k in np.flatnonzero(np.diff(edges)).tolist()]
                 yield from _table(out, REQUEST).to_batches()
 
     one = saved(parts.mapInArrow(ask_words, REQUEST).groupBy("range").applyInArrow(_count_words, REPLY))
@@ -342,6 +335,7 @@ def score(df: DataFrame, train, chunk_bytes: int = CHUNK_BYTES, hot: int = HOT)
     known = one.filter("chunk >= 0")
     asked = parts.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(ask_bigrams, REQUEST)
     two = saved(asked.groupBy("range").applyInArrow(lambda t: _count_bigrams(u, t), REPLY))
+    del asked
     bigrams = Discounts.good_turing(_summed(two.filter("chunk = -1").select("a"))[2:])
     sums: dict[int, tuple[float, np.ndarray]] = {}
     for r in two.filter(f"chunk = {HOT_ROW}").groupBy("a").agg(F.collect_list(F.struct("b", "c")).alias("parts")).collect():
