@@ -5,8 +5,10 @@ All helpers treat a null text as empty and never look at a prefix: a slice holds
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -47,6 +49,18 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def settled(spark: SparkSession) -> None:
+    """Lets Spark's cleaner take away the shuffle files of finished rounds, to which nothing refers any more.
+
+    To be called after an action that follows the round: Spark holds on to the plan of the last one. What the first
+    collection finalizes only the second one frees.
+    """
+    for pause in (0.5, 0.0):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(pause)
+
+
 def small_batches(df: DataFrame) -> DataFrame:
     """df; from now on Arrow batches between Spark and Python have at most BATCH_BYTES, unless the session sets its own."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Chunk, ascending, chunks, narrow, saved, span_hashes, unascending, widen, words
+from .common import Chunk, ascending, chunks, narrow, saved, settled, span_hashes, unascending, widen, words
 from .substring import ranged
 
 K = 5
@@ -325,6 +325,7 @@ def score(df: DataFrame, train, chunk_bytes: int = CHUNK_BYTES, hot: int = HOT)
     one = saved(parts.mapInArrow(ask_words, REQUEST).groupBy("range").applyInArrow(_count_words, REPLY))
     s = _summed(one.filter("chunk = -1").select("a"))
     starts = _starts(rows)
+    settled(df.sparkSession)
     u = Unigrams.of(int(s[0]), int(s[1]), s[2:], starts, hot)
 
     def ask_bigrams(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -341,6 +342,7 @@ def score(df: DataFrame, train, chunk_bytes: int = CHUNK_BYTES, hot: int = HOT)
     for r in two.filter(f"chunk = {HOT_ROW}").groupBy("a").agg(F.collect_list(F.struct("b", "c")).alias("parts")).collect():
         key = int(np.frombuffer(r["a"], "<u8")[0])
         sums[key] = (sum(float(np.frombuffer(p["b"], np.float64)[0]) for p in r["parts"]), sum(np.frombuffer(p["c"], "<i8") for p in r["parts"]))
+    settled(df.sparkSession)
     model = Model(u, bigrams, sums)
 
     def evaluate(left: pa.Table, right: pa.Table) -> pa.Table:
