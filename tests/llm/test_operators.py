@@ -536,6 +536,32 @@ def test_katz(spark, hot, chunk_bytes, monkeypatch):
         assert math.isclose(sum(p(h, w) for w in c1) + p(h, "\0"), 1, rel_tol=1e-9)
 
 
+def test_katz_tables_give_the_same(spark, tmp_path):
+    import pyspark.sql.functions as F
+
+    from cueforge.llm import katz_tables
+
+    rng = random.Random(14)
+    texts = [None, "", "The THE the", "x\x0by"] + [" ".join(rng.choice(["the", "of", "a", "b"]) if rng.random() < 0.5 else f"w{int(rng.expovariate(0.1))}" for _ in range(rng.randint(3, 60))) for _ in range(30)]
+    df = docs(spark, texts)
+    learns = F.col("doc_id") % 4 != 0
+    model = katz_tables.train(df.filter(learns))
+    model.write(str(tmp_path / "model"))
+    model = katz_tables.Tables.read(spark, str(tmp_path / "model"))
+    got, want = by_id(katz_tables.score(df, model)), by_id(katz.score(df, learns))
+    assert len(got) == len(texts)
+    for i, r in want.items():
+        assert (got[i]["n_tokens"], got[i]["n_known"]) == (r["n_tokens"], r["n_known"]) and math.isclose(got[i]["score"], r["score"], rel_tol=1e-9), i
+    # backoff weights make each history's probabilities sum to 1
+    words = {r["word"]: r["p"] for r in model.unigrams.collect()}
+    alpha = {r["history"]: r["alpha"] for r in model.backoff.collect()}
+    seen = collections.defaultdict(dict)
+    for r in model.bigrams.collect():
+        seen[r["history"]][r["word"]] = r["p"]
+    for h, own in seen.items():
+        assert math.isclose(sum(own.values()) + alpha[h] * (1 - sum(words[w] for w in own)), 1, rel_tol=1e-9)
+
+
 def test_katz_without_training_rows(spark):
     import pyspark.sql.functions as F
 
