@@ -2,8 +2,9 @@
 
 The pieces of a vocabulary span a lattice over a text; a path's score is the sum of its pieces' scores. No piece has a
 space mark after another character, so a text's lattice falls apart at the starts of its space runs into units that
-share nothing, and the n best paths of the text are the n best sums over the units' own n best paths. For each
-unit a forward Viterbi pass gives the best score from its start to every place; a search from the end backward
+share nothing, and the n best paths of the text are the n best sums over the units' own n best paths. Only units whose
+second path costs least can differ from their best; what it costs follows from a forward and a backward pass. For these
+units a forward Viterbi pass gives the best score from the start to every place, and a search from the end backward
 uses these scores as the exact remaining cost of A*, so paths leave the agenda best first and every popped state lies on
 one of the n best paths. Characters outside the vocabulary fall back to byte pieces, as one edge.
 
@@ -16,6 +17,7 @@ import hashlib
 import heapq
 import os
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -27,7 +29,7 @@ from .common import mapped, text_frame
 MARK = "▁"
 BYTE_LOSS = 10.0
 #: Units kept with their paths by one worker; later ones are computed each time.
-CACHE_UNITS = 300_000
+CACHE_UNITS = 500_000
 _UNIT = re.compile(r"▁+[^▁]*|[^▁]+")
 
 
@@ -48,8 +50,27 @@ class Lattice:
         self.bytes = byte_ids
         self.low = min((s for _, s in pieces.values()), default=0.0) - BYTE_LOSS
         self.back = {i: p.encode() for p, (i, _) in pieces.items()} | {i: bytes([b]) for b, i in enumerate(byte_ids or [])}
-        self.cache: dict[str, tuple] = {}
-        self.n = 0
+        self.cache: dict[str, tuple[float, bytes, float]] = {}
+        self.parts: dict[str, tuple[float, bytes, float]] = {}
+        self.inner = {p[k : k + 2] for p in pieces for k in range(len(p) - 1)}
+        # nodes: characters to (node, piece that ends here or None, its score)
+        self.trie: tuple[dict, int | None, float] = ({}, None, 0.0)
+        for p, (i, score) in pieces.items():
+            node = self.trie[0]
+            for c in p[:-1]:
+                node = node.setdefault(c, ({}, None, 0.0))[0]
+            kept = node.get(p[-1:], ({},))[0]
+            node[p[-1:]] = (kept, i, score)
+        self.units = self._units()
+        self.asked: dict[tuple[str, int], list] = {}
+
+    def _units(self) -> re.Pattern:
+        """What units match: if no piece has a letter beside another character, they end there as well."""
+        odd = "".join(sorted({re.escape(c) for p in self.inner for c in p if re.match(r"[^\W\d_]", c) and not c.isalpha()}))
+        letter = re.compile(rf"[^\W\d_{odd}]")
+        if any(p[0] != MARK and bool(letter.match(p[0])) != bool(letter.match(p[1])) for p in self.inner):
+            return _UNIT
+        return re.compile(rf"▁*{letter.pattern}+|▁*[\W\d_{odd}]+?(?=▁|{letter.pattern}|\Z)")
 
     def edges(self, unit: str, end: int):
         """(start, score, ids) of the pieces that end at end, long ones first."""
@@ -90,21 +111,85 @@ class Lattice:
                 made += 1
         return out
 
-    def unit(self, unit: str, n: int) -> tuple:
-        """The n best of a unit: best score, its ids, loss of the second path (inf: there is none), all scores, all ids."""
-        got = self.search(unit, n)
-        ids = tuple(np.array(i, "<u4").tobytes() for _, i in got)
-        own = (got[0][0], ids[0], got[0][0] - got[1][0] if len(got) > 1 else np.inf, tuple(s for s, _ in got), ids)
+    def unit(self, unit: str) -> tuple[float, bytes, float]:
+        """Best score of a unit, its ids, and what the second path loses against it (inf: there is none).
+
+        A unit falls apart further where two characters stand side by side in no piece.
+        """
+        inner, at, parts = self.inner, 0, []
+        for k in range(1, len(unit)):
+            if unit[k - 1 : k + 1] not in inner:
+                parts.append(unit[at:k])
+                at = k
+        if parts:
+            parts.append(unit[at:])
+            get = self.parts.get
+            done = [get(p) or self.part(p) for p in parts]
+            own = sum([d[0] for d in done]), b"".join([d[1] for d in done]), min([d[2] for d in done])
+        else:
+            own = self.part(unit, False)
         if len(self.cache) < CACHE_UNITS and len(unit) <= 64:
             self.cache[unit] = own
         return own
 
+    def part(self, unit: str, keep: bool = True) -> tuple[float, bytes, float]:
+        """As unit, for a stretch that has no such place.
+
+        The second path has a piece that the best one lacks, so it is the best over such pieces of the forward score
+        before it, its own, and the backward score after it.
+        """
+        size, root = len(unit), self.trie
+        forward, before, edges = [0.0] + [-1e300] * size, [(0, None)] * (size + 1), []
+        for start in range(size):
+            base, (node, _, _), own = forward[start], root, []
+            for end in range(start, size):
+                if (hit := node.get(unit[end])) is None:
+                    break
+                node, piece, score = hit
+                if piece is not None:
+                    own.append((end + 1, score))
+                    if base + score > forward[end + 1]:
+                        forward[end + 1], before[end + 1] = base + score, (start, piece)
+            if not own or own[0][0] != start + 1:
+                own.append((start + 1, self.low))
+                if base + self.low > forward[start + 1]:
+                    forward[start + 1], before[start + 1] = base + self.low, (start, None)
+            edges.append(own)
+        ids, on, at = [], {}, size
+        while at:
+            start, piece = before[at]
+            on[start] = at
+            ids.append([piece] if piece is not None else self.ids(unit, start, at, None))
+            at = start
+        backward, second = [-1e300] * size + [0.0], -1e300
+        for start in range(size - 1, -1, -1):
+            base, best, best_end = forward[start], -1e300, on.get(start)
+            for end, score in edges[start]:
+                v = score + backward[end]
+                if v > best:
+                    best = v
+                if end != best_end and base + v > second:
+                    second = base + v
+            backward[start] = best
+        flat = [i for part in reversed(ids) for i in part]
+        own = forward[size], array("I", flat).tobytes(), forward[size] - second if second > -1e299 else np.inf
+        if keep and len(self.parts) < CACHE_UNITS // 3 and size <= 64:
+            self.parts[unit] = own
+        return own
+
+    def best_of(self, unit: str, n: int) -> list[tuple[float, bytes]]:
+        """search(unit, n), kept for the units that many texts ask for."""
+        if (hit := self.asked.get((unit, n))) is None:
+            hit = [(s, np.array(i, "<u4").tobytes()) for s, i in self.search(unit, n)]
+            if len(self.asked) < CACHE_UNITS // 3 and len(unit) <= 64:
+                self.asked[unit, n] = hit
+        return hit
+
     def nbest(self, text: str, n: int) -> list[tuple[float, bytes]]:
         """The n best segmentations of normalised text, best first, as score and ids (little-endian unsigned 32-bit)."""
-        if n != self.n:
-            self.cache, self.n = {}, n
         get = self.cache.get
-        units = [get(u) or self.unit(u, n) for u in _UNIT.findall(text)]
+        names = self.units.findall(text)
+        units = [get(u) or self.unit(u) for u in names]
         best, whole = sum([u[0] for u in units]), [u[1] for u in units]
         out = [(best, b"".join(whole))]
         if n > 1:
@@ -113,21 +198,21 @@ class Lattice:
             cheap = np.flatnonzero(loss <= np.partition(loss, n - 2)[n - 2]) if len(loss) > n - 1 else np.arange(len(loss))
             cheap = sorted(cheap.tolist(), key=lambda k: (loss[k], k))[: n - 1]
             cheap = [k for k in cheap if loss[k] < np.inf]
-            own = [units[k] for k in cheap]
+            own = [self.best_of(names[k], n) for k in cheap]
             first = (0,) * len(own)
             agenda, seen = [(0.0, first)], {first}
             while agenda and len(out) < n:
                 lost, state = heapq.heappop(agenda)
                 if any(state):
                     changed = list(whole)
-                    for k, r in zip(cheap, state, strict=True):
-                        changed[k] = units[k][4][r]
+                    for k, r, u in zip(cheap, state, own, strict=True):
+                        changed[k] = u[r][1]
                     out.append((best - lost, b"".join(changed)))
                 for j, r in enumerate(state):
                     nxt = (*state[:j], r + 1, *state[j + 1 :])
-                    if r + 1 < len(own[j][3]) and nxt not in seen:
+                    if r + 1 < len(own[j]) and nxt not in seen:
                         seen.add(nxt)
-                        heapq.heappush(agenda, (sum(u[0] - u[3][x] for u, x in zip(own, nxt, strict=True)), nxt))
+                        heapq.heappush(agenda, (sum(u[0][0] - u[x][0] for u, x in zip(own, nxt, strict=True)), nxt))
         return out
 
     def decode(self, ids: np.ndarray) -> str:
