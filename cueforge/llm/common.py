@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 #: Most bytes of text that a worker handles at once, unless one text alone is longer.
 SLICE_BYTES = 4 << 20
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 #: White space of the word rule [^\x20\x09-\x0D]+; all other bytes, UTF-8 tails included, are word bytes.
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -294,5 +294,20 @@ def bits_from(b: bytes, n: int) -> np.ndarray:
     return np.unpackbits(unsqueeze(b, np.uint8), count=n).astype(bool)
 
 
+#: A key with more than one in HOT of all rows is hot; fewer than HOT keys can be.
+HOT = 1000
+
+
+def keyed_join(left: DataFrame, right: DataFrame, key: str, total: int) -> DataFrame:
+    """Inner join of left with right, whose keys are unique and whose column n tells how many rows of left have the key.
+
+    Rows of hot keys stay where they are: the fewer than HOT rows of right that they need are broadcast. The others are
+    joined by key. right should be saved, as it is read three times.
+    """
+    hot = right.filter(F.col("n") > total / HOT).drop("n")
+    rest = right.filter(F.col("n") <= total / HOT).drop("n")
+    return left.join(F.broadcast(hot), key).unionByName(left.join(F.broadcast(hot.select(key)), key, "left_anti").join(rest, key))
+
+
 def shuffle_count(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

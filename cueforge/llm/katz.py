@@ -30,7 +30,7 @@ from .substring import ranged
 
 K = 5
 HOT = 1000
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 12 << 20
 RANGE = 1_000_000
 END = np.uint64(0x1F0E5D3C7B9A8642)
 START = np.uint64(0xC6A4A7935BD1E995)

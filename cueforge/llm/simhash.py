@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import M1, M2, buffers, mapped, mix, saved, shuffle_count, span_hashes, text_frame, windows, within, words
+from .common import M1, M2, buffers, keyed_join, mapped, mix, saved, shuffle_count, span_hashes, text_frame, windows, within, words
 
 BITS = 2
 WIDTH = 3
@@ -212,14 +212,22 @@ def connected(edges: DataFrame, most_steps: int = 50) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
+def labelled(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """node, component_id and n of each of nodes (node, least, n), saved; roots as connected gives them."""
+    roots = saved(roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct()))
+    members = roots.join(nodes, "node").select("node", "root", "least")
+    ids = saved(members.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n")))
+    linked = keyed_join(roots, ids, "root", roots.count()).select("node", "component_id", F.lit(True).alias("linked"))
+    return saved(nodes.join(linked, "node", "left").select("node", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("least")).alias("component_id"), "n"))
+
+
 def components(df: DataFrame, bits: int = BITS, width: int = WIDTH) -> DataFrame:
     """doc_id, fp and component_id of each row of df."""
     own = saved(fingerprints(df, width))
-    nodes = saved(own.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = connected(forest(nodes, bits))
-    placed = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    ids = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    return own.join(placed.join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    nodes = saved(own.groupBy(F.col("fp").alias("node")).agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
+    roots = connected(forest(nodes.select(F.col("node").alias("fp")), bits))
+    placed = labelled(nodes, roots).withColumnRenamed("node", "fp")
+    return keyed_join(own, placed, "fp", own.count()).select("doc_id", "fp", "component_id")
 
 
 def op2(df: DataFrame) -> DataFrame:
@@ -299,11 +307,10 @@ def near_components(df: DataFrame, similarity: float = SIMILARITY, width: int =
     Nodes are known by a 64-bit hash of their fingerprints.
     """
     own = saved(wide_fingerprints(df, width).withColumn("node", F.xxhash64("fp")))
-    nodes = saved(own.groupBy("node").agg(F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.min("doc_id").alias("least")))
+    nodes = saved(own.groupBy("node").agg(F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.min("doc_id").alias("least"), F.count("*").alias("n")))
     roots = connected(near_forest(nodes, places_apart(similarity)))
-    placed = nodes.select("node", "least").join(roots.withColumnRenamed("node", "linked"), F.col("node") == F.col("linked"), "left").select("node", "least", F.coalesce("root", "node").alias("root"))
-    ids = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    return own.select("doc_id", "node").join(placed.join(ids, "root").select("node", "component_id"), "node").select("doc_id", "component_id")
+    placed = labelled(nodes.select("node", "least", "n"), roots)
+    return keyed_join(own.select("doc_id", "node"), placed, "node", own.count()).select("doc_id", "component_id")
 
 
 def keep_one(df: DataFrame, similarity: float = SIMILARITY, width: int = NEAR_WIDTH) -> DataFrame:
