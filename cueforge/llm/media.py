@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffers, mapped, mix, saved, slices, text_frame
+from .common import HOT, buffers, mapped, mix, saved, slices, text_frame
 
 BLOCK = 192
 RATE = 8000
@@ -140,7 +140,14 @@ def reconstruct(listed: DataFrame, store: DataFrame) -> DataFrame:
     A medium of one chunk is read where the store has it; longer ones bring their chunks together by medium.
     """
     wanted = listed.select("medium", "size", F.size("digests").alias("n"), F.posexplode("digests").alias("place", "digest"))
-    joined = wanted.join(store, "digest", "left").select("medium", "size", "n", "place", "digest", "bytes")
+    # chunks that very many media share (fewer than HOT can be) are broadcast, so that no task serves all of one
+    counts = wanted.groupBy("digest").agg(F.count("*").alias("n_media"))
+    total = counts.agg(F.sum("n_media")).first()[0] or 0
+    hot = saved(counts.filter(F.col("n_media") > total / HOT).select("digest"))
+    hot_store = store.join(F.broadcast(hot), "digest")
+    few = wanted.join(F.broadcast(hot), "digest", "left_anti").join(store, "digest", "left")
+    many_media = wanted.join(F.broadcast(hot), "digest", "left_semi").join(F.broadcast(hot_store), "digest", "left")
+    joined = few.unionByName(many_media).select("medium", "size", "n", "place", "digest", "bytes")
 
     def longer(key, table):
         rows = sorted(table.select(["place", "size", "digest", "bytes"]).to_pylist(), key=lambda r: r["place"])
