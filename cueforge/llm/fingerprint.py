@@ -15,6 +15,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -108,36 +109,51 @@ def compared(ids: list, texts: list[str], following: list[str], k: int, width: i
     })
 
 
+def parted(df: DataFrame, column: str, parts: int) -> DataFrame:
+    """df with part: a number that grows with column, each part about as large, nulls in part -1.
+
+    Bounds are quantiles (at most parts numbers on the driver), so a row's part depends on nothing but its value: a task that
+    runs again, or a plan that deals the rows out twice, puts it in the same place.
+    """
+    found = df.approxQuantile(column, [k / parts for k in range(1, parts)], 0.25 / parts) if parts > 1 else []
+    splits = [-float("inf"), *sorted(set(found)), float("inf")]
+    if len(splits) < 3:
+        return df.withColumn("part", F.when(F.col(column).isNull(), -1).otherwise(0))
+    value = df.withColumn("_value", F.coalesce(F.col(column).cast("double"), F.lit(0.0)))
+    cut = Bucketizer(splits=splits, inputCol="_value", outputCol="_part").transform(value)
+    return cut.withColumn("part", F.when(F.col(column).isNull(), -1).otherwise(F.col("_part").cast("int"))).drop("_value", "_part")
+
+
 def op6(df: DataFrame, k: int = K, width: int = WIDTH) -> DataFrame:
     """Each row against its edited text and the next row in descending doc_id (after the last: the first).
 
-    One range exchange puts the rows in order; a task pairs each of its rows with the next as it streams. Only the last
-    row of a partition needs the first row of the next: these boundary rows (two a partition) are joined by partition.
+    One exchange deals the rows to parts of neighbouring doc_ids; a task pairs each row of a part with the next as it
+    streams. Only the last row of a part needs the first row of the next: these boundary rows, two a part, are joined.
     """
     rows = text_frame(df).withColumn("text", F.coalesce("text", F.lit(""))).withColumn("tie", F.xxhash64("text"))
     n = shuffle_count(df.sparkSession)
-    order = [F.desc_nulls_last("doc_id"), F.asc("tie")]
-    ranged = rows.repartitionByRange(n, *order)
+    dealt = parted(rows, "doc_id", 4 * n).repartition(n, "part")
 
     def run(batches):
         held = None
-        for part in slices(batches):
-            ids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
-            own = sketches(part.column(1), k, width)
+        for batch in slices(batches):
+            ids, texts, parts = (batch.column(i).to_pylist() for i in (0, 1, 3))
+            own = sketches(batch.column(1), k, width)
             if held:
-                ids, texts, own = [held[0], *ids], [held[1], *texts], [held[2], *own]
-            held = ids[-1], texts[-1], own[-1]
-            if len(ids) > 1:
-                yield compared(ids[:-1], texts[:-1], texts[1:], k, width, own[:-1], own[1:])
+                ids, texts, parts, own = ([h, *x] for h, x in zip(held, (ids, texts, parts, own), strict=True))
+            held = ids[-1], texts[-1], parts[-1], own[-1]
+            at = [i for i in range(len(ids) - 1) if parts[i] == parts[i + 1]]
+            if at:
+                yield compared([ids[i] for i in at], [texts[i] for i in at], [texts[i + 1] for i in at], k, width, [own[i] for i in at], [own[i + 1] for i in at])
 
-    inner = ranged.sortWithinPartitions(*order).mapInArrow(run, OUT)
+    inner = dealt.sortWithinPartitions("part", F.desc_nulls_last("doc_id"), F.asc("tie")).mapInArrow(run, OUT)
 
-    # a partition's first and last row, by the same order: nulls last, then ascending tie
-    rank = F.struct(F.coalesce(F.col("doc_id"), F.lit(-(2**63))).alias("a"), F.expr("-1 - tie").alias("b"))
+    # a part's first and last row, in the same order: descending doc_id, then ascending tie
+    rank = F.struct(F.coalesce(F.col("doc_id"), F.lit(0)).alias("a"), F.expr("-1 - tie").alias("b"))
     row = F.struct("doc_id", "text")
-    edges = ranged.groupBy(F.spark_partition_id().alias("part")).agg(F.max_by(row, rank).alias("head"), F.min_by(row, rank).alias("tail"))
+    edges = dealt.groupBy("part").agg(F.max_by(row, rank).alias("head"), F.min_by(row, rank).alias("tail"))
     places = edges.select("part")
-    ordered = W.orderBy("part")  # one row a partition
+    ordered = W.orderBy(F.desc("part"))  # one row a part
     after = places.select("part", F.coalesce(F.lead("part").over(ordered), F.first("part").over(ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))).alias("next_part"))
     pairs = edges.select("part", "tail").join(after, "part").join(edges.select(F.col("part").alias("next_part"), "head"), "next_part")
 
