@@ -121,7 +121,8 @@ def parted(df: DataFrame, column: str, parts: int) -> DataFrame:
         return df.withColumn("part", F.when(F.col(column).isNull(), -1).otherwise(0))
     value = df.withColumn("_value", F.coalesce(F.col(column).cast("double"), F.lit(0.0)))
     cut = Bucketizer(splits=splits, inputCol="_value", outputCol="_part").transform(value)
-    return cut.withColumn("part", F.when(F.col(column).isNull(), -1).otherwise(F.col("_part").cast("int"))).drop("_value", "_part")
+    # never null, also to the planner: a filter for it would keep plans from sharing one exchange
+    return cut.withColumn("part", F.coalesce(F.when(F.col(column).isNotNull(), F.col("_part").cast("int")), F.lit(-1))).drop("_value", "_part")
 
 
 def op6(df: DataFrame, k: int = K, width: int = WIDTH) -> DataFrame:
