@@ -15,7 +15,6 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -115,6 +114,8 @@ def parted(df: DataFrame, column: str, parts: int) -> DataFrame:
     Bounds are quantiles (at most parts numbers on the driver), so a row's part depends on nothing but its value: a task that
     runs again, or a plan that deals the rows out twice, puts it in the same place.
     """
+    from pyspark.ml.feature import Bucketizer  # here, as workers that import this module have no use for it
+
     found = df.approxQuantile(column, [k / parts for k in range(1, parts)], 0.25 / parts) if parts > 1 else []
     splits = [-float("inf"), *sorted(set(found)), float("inf")]
     if len(splits) < 3:
@@ -137,7 +138,7 @@ def op6(df: DataFrame, k: int = K, width: int = WIDTH) -> DataFrame:
 
     def run(batches):
         held = None
-        for batch in slices(batches):
+        for batch in slices(batches, 1 << 20):
             ids, texts, parts = (batch.column(i).to_pylist() for i in (0, 1, 3))
             own = sketches(batch.column(1), k, width)
             if held:
@@ -159,7 +160,7 @@ def op6(df: DataFrame, k: int = K, width: int = WIDTH) -> DataFrame:
     pairs = edges.select("part", "tail").join(after, "part").join(edges.select(F.col("part").alias("next_part"), "head"), "next_part")
 
     def last(batches):
-        for batch in batches:
+        for batch in slices(batches, 1 << 20):
             if batch.num_rows:
                 ids, texts, following = (batch.column(i).to_pylist() for i in range(3))
                 yield compared(ids, texts, following, k, width)
