@@ -15,9 +15,11 @@ from ..functions.times import is_time_line, parsed_time
 _INTEGER = r"(?U)\A[+-]?[0-9]+(_[0-9]+)*\z"
 
 
-def read_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """file_id (the file's address) and value (its whole text) of each file."""
-    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file_id"), "value")
+def read_files(spark: SparkSession, path: str | list[str], by_name: bool = False) -> DataFrame:
+    """file_id and value (the whole text) of each file. file_id is its address, or with by_name the last part of it,
+    by which files of two folders belong together."""
+    address = F.col("_metadata.file_path")
+    return spark.read.text(path, wholetext=True).select((F.regexp_extract(address, r"[^/]+\z", 0) if by_name else address).alias("file_id"), "value")
 
 
 def parse_cues(files: DataFrame) -> DataFrame:
@@ -42,8 +44,8 @@ def parse_cues(files: DataFrame) -> DataFrame:
     return files.select("file_id", F.posexplode(F.transform(valid, cue)).alias("at", "cue")).select("file_id", (F.col("at") + 1).alias("ordinal"), "cue.index", "cue.start_ms", "cue.end_ms", "cue.text")
 
 
-def read_cues(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return parse_cues(read_files(spark, path))
+def read_cues(spark: SparkSession, path: str | list[str], by_name: bool = False) -> DataFrame:
+    return parse_cues(read_files(spark, path, by_name))
 
 
 def text_only(files: DataFrame) -> DataFrame:
