@@ -52,13 +52,19 @@ def saved(df: DataFrame) -> DataFrame:
 def settled(spark: SparkSession) -> None:
     """Lets Spark's cleaner take away the shuffle files of finished rounds, to which nothing refers any more.
 
-    To be called after an action that follows the round: Spark holds on to the plan of the last one. What the first
-    collection finalizes only the second one frees.
+    To be called after an action that follows the round: Spark holds on to the plan of the last one. What one
+    collection finalizes only a later one frees, and the cleaner works beside: so it goes on while the number of shuffles
+    falls, some seconds at most.
     """
-    for pause in (0.5, 0.0):
+    tracked = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    quiet, last = 0, tracked.size()
+    for _ in range(10):
         gc.collect()
         spark.sparkContext._jvm.System.gc()
-        time.sleep(pause)
+        time.sleep(0.5)
+        quiet, last = (quiet + 1 if tracked.size() == last else 0), tracked.size()
+        if not last or quiet == 4:
+            return
 
 
 def small_batches(df: DataFrame) -> DataFrame:
