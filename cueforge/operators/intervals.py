@@ -57,6 +57,9 @@ def pairs(cues: DataFrame, refs: DataFrame, window_ms: int = 0, bin_ms: int = 10
     right = refs.select("file_id", F.col("ordinal").alias("r_ordinal"), F.col("start_ms").alias("r_start"), F.col("end_ms").alias("r_end"), F.col("text").alias("r_text"))
     right = _binned(right, F.least("r_start", "r_end") - window_ms, F.greatest("r_start", "r_end") + window_ms, bin_ms).select("file_id", "r_ordinal", "r_start", "r_end", "r_text", F.col("lo").alias("r_lo"), F.col("home").alias("r_home"), "at.level", "at.bin")
     width = F.lit(bin_ms) * F.pow(F.lit(WIDER), F.col("level")).cast("long")
+    # few bytes make many pairs here, which a plan that goes by bytes would put into one task
+    n = int(cues.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = left.repartition(n, "file_id", "level", "bin")
     once = (F.col("level") == F.greatest("home", "r_home")) & (F.col("bin") == F.floor(F.greatest("lo", "r_lo") / width))
     match = near("start_ms", "end_ms", "r_start", "r_end", window_ms) if window_ms else overlap_ms("start_ms", "end_ms", "r_start", "r_end") > 0
     return left.join(right, ["file_id", "level", "bin"]).filter(once & match).drop("level", "bin", "lo", "home", "r_lo", "r_home")
