@@ -7,9 +7,10 @@ A search adds up the differences on the way down and drops a node, with all that
 `bits`; a node whose fingerprints are all in the searcher's component already is dropped too, so a group of near copies
 costs no pairs. Tasks return a spanning forest, and alternating large-star and small-star steps join the forests.
 
-Near copies by similarity (near_components) take wide fingerprints of five-word shingles. At a similarity of 0.8 these differ
-in 39 of 256 places, too many for blocks of equal places; a task gets its fingerprints by the shingles' least hashes
-instead. KEYS such keys are shared by none of two texts of that similarity once in ten million times.
+Near copies by similarity (near_components) take wide fingerprints of the set of five-word shingles. At a similarity of 0.8
+these differ in 39 of 256 places, too many for blocks of equal places; a task gets its fingerprints by the shingles' least hashes
+instead. KEYS such keys are shared by none of two texts of that similarity once in ten million times. Fingerprints only find
+candidates, with a wide margin; the sets of a group of candidates meet in one task, and there a link needs their true similarity.
 
 Null texts are empty; texts without words have fingerprint zero and link like any other. Equal fingerprints are one node,
 whatever number of rows has them. A component's id is the least doc_id that is not null.
@@ -18,6 +19,7 @@ whatever number of rows has them. A component's id is the least doc_id that is n
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -108,13 +110,19 @@ class GrayIndex:
         self.pattern = pattern
         self.rest = [m & ~np.repeat(up, FAN, axis=0)[: len(m)] for m, up in zip(shared, shared[1:])] + [shared[-1]]
 
-    def components(self, bits: int) -> np.ndarray:
-        """For each code in Gray order, the place of the first code of its component under links of at most bits."""
+    def components(self, bits: int, alike: Callable[[int, int], bool] | None = None) -> np.ndarray:
+        """For each code in Gray order, the place of the first code of its component under links of at most bits.
+
+        With alike only links between places that it confirms count; it is not asked about places joined already.
+        """
         n = len(self.codes)
         label = np.arange(n)
-        for at in range(0, n, QUERIES):
-            a, b = self.links(np.arange(at, min(n, at + QUERIES)), bits, label)
-            label = joined(label, a, b)
+        # with alike the first blocks are small, so that a group of near copies is joined before most of its pairs come up
+        at, step = 0, 1 if alike else QUERIES
+        while at < n:
+            a, b = self.links(np.arange(at, min(n, at + step)), bits, label)
+            label = joined(label, *(confirmed(label, a, b, alike) if alike else (a, b)))
+            at, step = at + step, min(2 * step, QUERIES)
         return label
 
     def links(self, queries: np.ndarray, bits: int, label: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -150,6 +158,25 @@ class GrayIndex:
         return np.concatenate([a for a, _ in out]), np.concatenate([b for _, b in out])
 
 
+def confirmed(label: np.ndarray, a: np.ndarray, b: np.ndarray, alike: Callable[[int, int], bool]) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the pairs that alike confirms, without pairs that pairs before them have joined."""
+    up: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (to := up.get(x, x)) != x:
+            up[x] = up.get(to, to)
+            x = to
+        return x
+
+    kept = []
+    for i, (x, y, k, m) in enumerate(zip(a.tolist(), b.tolist(), label[a].tolist(), label[b].tolist(), strict=True)):
+        k, m = root(k), root(m)
+        if k != m and alike(x, y):
+            up[max(k, m)] = min(k, m)
+            kept.append(i)
+    return a[kept], b[kept]
+
+
 def joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """label after a[i] and b[i] have become one component each; a component's label is its least member."""
     while True:
@@ -235,13 +262,17 @@ def op2(df: DataFrame) -> DataFrame:
 
 
 def places_apart(similarity: float, places: int = 64 * WIDE) -> int:
-    """How many places of wide fingerprints may differ at such a share of common shingles, with a margin of 1.25 deviations."""
+    """How many places of wide fingerprints may differ at such a share of common shingles, with a margin of 5 deviations."""
     p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return int(places * p + 1.25 * math.sqrt(places * p * (1 - p)))
+    return int(places * p + 5 * math.sqrt(places * p * (1 - p)))
 
 
 def wide_fingerprints(df: DataFrame, width: int = NEAR_WIDTH) -> DataFrame:
-    """doc_id, fp (WIDE 64-bit words as bytes) and keys (the least hashes of the shingles under KEYS orders) of each row."""
+    """doc_id, fp (WIDE 64-bit words as bytes), keys (the least hashes of the shingles under KEYS orders), node and shingles of each row.
+
+    All are of the set of shingles, so repeats count once. shingles holds the set's 32-bit hashes in order (a hash stands for two
+    shingles of a pair of texts once in 2**32 / words), node is a 64-bit hash of the set.
+    """
 
     def rows(part: pa.RecordBatch) -> dict:
         buf, off = buffers(part.column(1))
@@ -257,6 +288,10 @@ def wide_fingerprints(df: DataFrame, width: int = NEAR_WIDTH) -> DataFrame:
         hashes[np.repeat(long, size)] = wide[within(len(wide), at, width)]
         for i in np.flatnonzero(~long & (n > 0)).tolist():
             hashes[first[i]] = windows(h[at[i] : at[i + 1]], int(n[i]), 3)[0]
+        sets = [np.unique(hashes[a:b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+        size = np.array([len(own) for own in sets], np.int64)
+        first = np.concatenate([[0], np.cumsum(size)])
+        hashes = np.concatenate(sets)
         fp, keys = np.empty((len(n), WIDE), np.uint64), np.empty((len(n), KEYS), np.uint64)
         with np.errstate(over="ignore"):
             for j in range(WIDE):
@@ -266,9 +301,11 @@ def wide_fingerprints(df: DataFrame, width: int = NEAR_WIDTH) -> DataFrame:
                 fp[:, j] = np.packbits(count * 2 > size[:, None], axis=1, bitorder="little").view("<u8")[:, 0]
             for j in range(KEYS):
                 keys[:, j] = np.minimum.reduceat(mix(hashes ^ (np.uint64(j + 1) * M2)), first[:-1]) ^ np.uint64(j)
-        return {"doc_id": part.column(0), "fp": pa.array([r.tobytes() for r in fp], pa.binary()), "keys": pa.array(keys.view(np.int64).tolist(), pa.list_(pa.int64()))}
+        node = np.array([xxhash.xxh64_intdigest(own.tobytes(), SEED) for own in sets], np.uint64).view(np.int64)
+        kept = [np.unique((own >> np.uint64(32)).astype("<u4")).tobytes() for own in sets]
+        return {"doc_id": part.column(0), "fp": pa.array([r.tobytes() for r in fp], pa.binary()), "keys": pa.array(keys.view(np.int64).tolist(), pa.list_(pa.int64())), "node": pa.array(node), "shingles": pa.array(kept, pa.binary())}
 
-    return mapped(text_frame(df), rows, "doc_id long, fp binary, keys array<long>", 1 << 21)
+    return mapped(text_frame(df), rows, "doc_id long, fp binary, keys array<long>, node long, shingles binary", 1 << 21)
 
 
 def near_forest(nodes: DataFrame, bits: int) -> DataFrame:
@@ -301,15 +338,69 @@ def near_forest(nodes: DataFrame, bits: int) -> DataFrame:
     return keyed.repartition(shuffle_count(nodes.sparkSession), "key").mapInArrow(run, "a long, b long")
 
 
+def set_similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Shared members by all members of two sets in order, neither empty."""
+    both = np.concatenate([a, b])
+    both.sort(kind="stable")
+    shared = int((both[1:] == both[:-1]).sum())
+    return shared / (len(both) - shared)
+
+
+def near_roots(sets: DataFrame, similarity: float, bits: int) -> DataFrame:
+    """node and root, as connected gives them, of links of at least that similarity between the sets of one group.
+
+    sets: group, node, fp and shingles, each node once. A group's sets are in one task's memory, one group at a time.
+    """
+
+    def linked(node: list[int], fp: list[bytes], shingles: list[bytes]) -> tuple[list[int], list[int]]:
+        index = GrayIndex(np.frombuffer(b"".join(fp), np.uint64).reshape(-1, WIDE))
+        own = [np.frombuffer(shingles[i], "<u4") for i in index.order.tolist()]
+        size = [len(x) for x in own]
+
+        def alike(x: int, y: int) -> bool:
+            return min(size[x], size[y]) >= similarity * max(size[x], size[y]) and set_similarity(own[x], own[y]) >= similarity
+
+        label = index.components(bits, alike).tolist()
+        order = index.order.tolist()
+        pairs = [(node[order[i]], node[order[to]]) for i, to in enumerate(label) if i != to]
+        return [a for a, _ in pairs], [b for _, b in pairs]
+
+    def run(batches):
+        group, held = None, ([], [], [])
+        a, b = [], []
+        for batch in batches:
+            for g, *row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if g != group:
+                    if len(held[0]) > 1:
+                        x, y = linked(*held)
+                        a += x
+                        b += y
+                    group, held = g, ([], [], [])
+                for own, v in zip(held, row, strict=True):
+                    own.append(v)
+            if a:
+                yield pa.RecordBatch.from_pydict({"node": pa.array(a, pa.int64()), "root": pa.array(b, pa.int64())})
+                a, b = [], []
+        if len(held[0]) > 1:
+            a, b = linked(*held)
+            yield pa.RecordBatch.from_pydict({"node": pa.array(a, pa.int64()), "root": pa.array(b, pa.int64())})
+
+    dealt = sets.select("group", "node", "fp", "shingles").repartition(shuffle_count(sets.sparkSession), "group").sortWithinPartitions("group")
+    return dealt.mapInArrow(run, "node long, root long")
+
+
 def near_components(df: DataFrame, similarity: float = SIMILARITY, width: int = NEAR_WIDTH) -> DataFrame:
-    """doc_id and component_id of each row of df, under links of at least that similarity.
+    """doc_id and component_id of each row of df, under links between sets of shingles of at least that similarity.
 
-    Nodes are known by a 64-bit hash of their fingerprints.
+    Nodes are known by a 64-bit hash of their sets.
     """
-    own = saved(wide_fingerprints(df, width).withColumn("node", F.xxhash64("fp")))
+    own = saved(wide_fingerprints(df, width))
     nodes = saved(own.groupBy("node").agg(F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.min("doc_id").alias("least"), F.count("*").alias("n")))
-    roots = connected(near_forest(nodes, places_apart(similarity)))
-    placed = labelled(nodes.select("node", "least", "n"), roots)
+    bits = places_apart(similarity)
+    wide = connected(near_forest(nodes, bits))
+    wide = wide.unionByName(wide.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("root", "group")
+    sets = own.groupBy("node").agg(F.first("fp").alias("fp"), F.first("shingles").alias("shingles")).join(wide, "node")
+    placed = labelled(nodes.select("node", "least", "n"), near_roots(sets, similarity, bits))
     return keyed_join(own.select("doc_id", "node"), placed, "node", own.count()).select("doc_id", "component_id")
 
 

@@ -208,6 +208,38 @@ def test_near_copies_by_similarity(spark):
     assert pairs > 40 and missed <= 0.1 * pairs and wrong == 0 and got[n - 1] == n - 1
 
 
+def test_near_copies_need_similar_sets(spark):
+    """Documents that share a much repeated line are no near copies; links are those of brute force over sets."""
+    rng = random.Random(31)
+
+    def own(n):
+        return " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+
+    line = own(16)
+    texts = [" ".join([line] * 10) + " " + own(100) for _ in range(150)]
+    for k in range(60):
+        w = own(rng.choice([12, 60, 200])).split()
+        texts.append(" ".join(w))
+        for at in rng.sample(range(len(w)), rng.randint(1, max(1, len(w) // 40))):
+            w[at] = "changed"
+        texts.append(" ".join(w))
+    w = own(120).split()
+    for k in range(0, 60, 2):  # a chain, each link similar
+        w[k] = "changed"
+        texts.append(" ".join(w) + " " + line)
+    sh = [{tuple(w[i : i + 5]) for w in [t.split()] for i in range(len(w) - 4)} for t in texts]
+    want = list(range(len(texts)))
+    linked = 0
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sh[i] & sh[j]) >= 0.8 * len(sh[i] | sh[j]):
+                linked += 1
+                a, b = sorted((want[i], want[j]))
+                want = [a if x == b else x for x in want]
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_components(docs(spark, texts)).collect()}
+    assert linked > 40 and [got[i] for i in range(len(texts))] == want
+
+
 def test_simhash_chains_across_tasks(spark):
     """A path of fingerprints two bits apart each ends in one component."""
     fp, fps = 0, [0]
