@@ -14,6 +14,7 @@ import hashlib
 import re
 import unicodedata
 from bisect import bisect_left
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -41,18 +42,18 @@ _NUMBER = "|".join(NUMBERS)
 _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
 _DOT = rf"(?:\s*{_OPEN}\s*(?:dot|punto|punkt|point|\.)\s*{_CLOSE}\s*|\s+dot\s+)"
 _AT = rf"(?:\s*{_OPEN}\s*(?:at|arroba|@)\s*{_CLOSE}\s*)"
-_RULES = re.compile(
+_SIGNS = (
     rf"(?P<at>{_AT}|(?<=[A-Za-z0-9])\s+at\s+(?=[A-Za-z0-9-]+{_DOT}[A-Za-z0-9])|(?<=[A-Za-z0-9])[-_]at[-_](?=[A-Za-z0-9]+[-_]dot[-_][A-Za-z0-9]))|(?P<dot>{_DOT}|(?<=[A-Za-z0-9])[-_]dot[-_](?=[A-Za-z0-9]))"
-    rf"|(?P<plus>\bplus\s+(?=[0-9]|(?:{_NUMBER})\b))|(?P<number>(?<![A-Za-z])(?:{_NUMBER})(?![A-Za-z]))",
-    re.IGNORECASE,
+    rf"|(?P<plus>\bplus\s+(?=[0-9]|(?:{_NUMBER})\b))"
 )
+_RULES = re.compile(rf"{_SIGNS}|(?P<number>(?<![A-Za-z])(?:{_NUMBER})(?![A-Za-z]))", re.IGNORECASE)
+#: Found where any of _SIGNS is: white space before a bracket or dot decides nothing, and leaving it out keeps long runs of it linear.
+_SIGN = re.compile(_SIGNS.replace(r"(?:\s*", "(?:").replace(r"|\s+dot", r"|\sdot"), re.IGNORECASE)
 #: Four or more digits in a row, spelled or not.
 _SPELLED = re.compile(rf"(?<![A-Za-z0-9])(?:{_NUMBER}|[0-9]++)(?:(?:[ ,-]+|\s+dot\s+|\s*{_OPEN}dot{_CLOSE}\s*)(?:{_NUMBER}|[0-9]++)(?![A-Za-z])){{3,}}", re.IGNORECASE)
 #: Letters for digits: runs of digits and separators with O or l in them.
 _LETTERED = re.compile(r"(?<![A-Za-z0-9])[0-9OoIl][0-9OoIl .()-]{5,}[0-9OoIl](?![A-Za-z0-9])")
-_BESIDE = re.compile(r"[0-9][OoIl]|[OoIl][0-9]")
 _AS_DIGIT = {"O": "0", "o": "0", "I": "1", "l": "1"}
-_DISGUISE = re.compile(rf"{_AT}|{_DOT}|[-_]dot[-_]", re.IGNORECASE)
 _STRANGE = re.compile("[" + "".join(map(re.escape, sorted(set(LOOKALIKES) | _INVISIBLE))) + "٠-٩۰-۹०-९①-⑨²³¹⁰-₉﹫！-～\U0001d400-\U0001d7ff]")
 
 
@@ -100,6 +101,14 @@ def _plain(c: str) -> str:
     return str(d) if d is not None else unicodedata.normalize("NFKC", c)
 
 
+def _letters(text: str) -> Iterator[int]:
+    """Places of letters that stand for digits."""
+    for m in _LETTERED.finditer(text):
+        letters = [i for i in range(*m.span()) if text[i] in _AS_DIGIT]
+        if letters and 2 * len(letters) <= sum(c.isdigit() for c in m[0]):
+            yield from letters
+
+
 def transduce(text: str) -> tuple[str, list[int], list[int], list[bool]]:
     """Normal form, and for each of its characters where its source starts and ends and whether it was rewritten."""
     out: list[str] = []
@@ -111,11 +120,8 @@ def transduce(text: str) -> tuple[str, list[int], list[int], list[bool]]:
         for x in to:
             out.append(x), start.append(i), end.append(i + 1), new.append(to != c)
     mid = "".join(out)
-    for m in _LETTERED.finditer(mid):
-        letters = [i for i in range(*m.span()) if mid[i] in _AS_DIGIT]
-        if letters and 2 * len(letters) <= sum(c.isdigit() for c in m[0]):
-            for i in letters:
-                out[i], new[i] = _AS_DIGIT[mid[i]], True
+    for i in _letters(mid):
+        out[i], new[i] = _AS_DIGIT[mid[i]], True
     mid = "".join(out)
     spelled = [m.span() for m in _SPELLED.finditer(mid)]
     parts, s2, e2, n2, at = [], [], [], [], 0
@@ -136,15 +142,10 @@ def transduce(text: str) -> tuple[str, list[int], list[int], list[bool]]:
 
 
 def disguised(text: str) -> bool:
-    """Whether the transducer could change anything that a detector needs."""
+    """Whether the transducer changes the text: a search for its own rules, so that nothing it would rewrite is left out."""
     if not text.isascii() and _STRANGE.search(text):
         return True
-    if _BESIDE.search(text) and _LETTERED.search(text):
-        return True
-    low = text.lower()
-    if ("dot" in low or "at)" in low or "at]" in low or "(at" in low or "[at" in low or "at}" in low or "@" in low) and _DISGUISE.search(low):
-        return True
-    return any(w in low for w in ("zero", "two", "three", "four", "five", "six", "seven", "eight", "nine")) and bool(_SPELLED.search(low))
+    return any(True for _ in _letters(text)) or bool(_SIGN.search(text)) or bool(_SPELLED.search(text))
 
 
 def added(text: str, base: list[list[tuple[int, int]]]) -> list[list[tuple[int, int]]]:

@@ -500,6 +500,27 @@ def test_pii_leaves_clean_text(text):
     assert not any(pii.added(text, pii.detect(text))) and not any(pii.detect(text))
 
 
+def test_pii_gate_lets_all_disguises_through(monkeypatch):
+    """What the gate lets through gives the same spans as the transducer run on every text."""
+    rng = random.Random(32)
+    digits = ["one", "oh", "zero", "One", "OH", "seven", "5", "1", "O", "l", "555"]
+    texts = ["jane <at> example.com", "jane ( at ) example.com", "jane [ at ] example.com", "jane (arroba) example.com", "+1 555 one one oh one", "plus 44 20 7946 0958", "+1 555 O 123 45 67", "jane {ARROBA} example (punkt) org"]
+    named = len(texts)
+    for _ in range(3000):
+        a, b = rng.choice(["[]", "()", "{}", "<>", "[)"])
+        gap = [rng.choice(["", " ", "  "]) for _ in range(4)]
+        at = rng.choice(["at", "arroba", "@", "AT"])
+        dot = rng.choice([".", " dot ", "(punto)", "[.]", " {point} ", "_dot_"])
+        mail = f"jane{gap[0]}{a}{gap[1]}{at}{gap[2]}{b}{gap[3]}example{dot}com"
+        sign = rng.choice(["+", "plus ", "Plus ", ""])
+        call = sign + rng.choice([" ", "-", ", ", ""]).join(rng.choice(digits) for _ in range(rng.randint(3, 12)))
+        texts.append(" and ".join(rng.sample([mail, call, "joe at example dot net", "plain words"], rng.randint(1, 2))))
+    gated = [pii.added(t, pii.detect(t)) for t in texts]
+    monkeypatch.setattr(pii, "disguised", lambda text: True)
+    assert gated == [pii.added(t, pii.detect(t)) for t in texts]
+    assert all(any(more) for more in gated[:named])
+
+
 def test_pii_query(spark):
     texts = odd_texts() + ["a@b.co and joe at example dot com", "a@b.co"]
     got = by_id(pii.find_personal_data(docs(spark, texts)))
