@@ -268,7 +268,7 @@ def places_apart(similarity: float, places: int = 64 * WIDE) -> int:
 
 
 def wide_fingerprints(df: DataFrame, width: int = NEAR_WIDTH) -> DataFrame:
-    """doc_id, fp (WIDE 64-bit words as bytes), keys (the least hashes of the shingles under KEYS orders), node and shingles of each row.
+    """doc_id, text_hash, fp (WIDE 64-bit words as bytes), keys (the least hashes of the shingles under KEYS orders), node and shingles of each row.
 
     All are of the set of shingles, so repeats count once. shingles holds the set's 32-bit hashes in order (a hash stands for two
     shingles of a pair of texts once in 2**32 / words), node is a 64-bit hash of the set.
@@ -303,9 +303,9 @@ def wide_fingerprints(df: DataFrame, width: int = NEAR_WIDTH) -> DataFrame:
                 keys[:, j] = np.minimum.reduceat(mix(hashes ^ (np.uint64(j + 1) * M2)), first[:-1]) ^ np.uint64(j)
         node = np.array([xxhash.xxh64_intdigest(own.tobytes(), SEED) for own in sets], np.uint64).view(np.int64)
         kept = [np.unique((own >> np.uint64(32)).astype("<u4")).tobytes() for own in sets]
-        return {"doc_id": part.column(0), "fp": pa.array([r.tobytes() for r in fp], pa.binary()), "keys": pa.array(keys.view(np.int64).tolist(), pa.list_(pa.int64())), "node": pa.array(node), "shingles": pa.array(kept, pa.binary())}
+        return {"doc_id": part.column(0), "text_hash": part.column(2), "fp": pa.array([r.tobytes() for r in fp], pa.binary()), "keys": pa.array(keys.view(np.int64).tolist(), pa.list_(pa.int64())), "node": pa.array(node), "shingles": pa.array(kept, pa.binary())}
 
-    return mapped(text_frame(df), rows, "doc_id long, fp binary, keys array<long>, node long, shingles binary", 1 << 21)
+    return mapped(text_frame(df).withColumn("text_hash", F.xxhash64("text")), rows, "doc_id long, text_hash long, fp binary, keys array<long>, node long, shingles binary", 1 << 21)
 
 
 def near_forest(nodes: DataFrame, bits: int) -> DataFrame:
@@ -389,26 +389,43 @@ def near_roots(sets: DataFrame, similarity: float, bits: int) -> DataFrame:
     return dealt.mapInArrow(run, "node long, root long")
 
 
-def near_components(df: DataFrame, similarity: float = SIMILARITY, width: int = NEAR_WIDTH) -> DataFrame:
-    """doc_id and component_id of each row of df, under links between sets of shingles of at least that similarity.
+def near_groups(df: DataFrame, similarity: float, width: int) -> tuple[DataFrame, DataFrame]:
+    """doc_id, text_hash and node of each row of df, and component_id and n of each node, under links between sets of shingles of at least that similarity.
 
-    Nodes are known by a 64-bit hash of their sets.
+    Nodes are known by a 64-bit hash of their sets. A component's id is its first row: (no doc_id, doc_id, text_hash), the least.
     """
     own = saved(wide_fingerprints(df, width))
-    nodes = saved(own.groupBy("node").agg(F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.min("doc_id").alias("least"), F.count("*").alias("n")))
+    row = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")
+    nodes = saved(own.groupBy("node").agg(F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.min(row).alias("least"), F.count("*").alias("n")))
     bits = places_apart(similarity)
     wide = connected(near_forest(nodes, bits))
     wide = wide.unionByName(wide.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("root", "group")
     sets = own.groupBy("node").agg(F.first("fp").alias("fp"), F.first("shingles").alias("shingles")).join(wide, "node")
-    placed = labelled(nodes.select("node", "least", "n"), near_roots(sets, similarity, bits))
-    return keyed_join(own.select("doc_id", "node"), placed, "node", own.count()).select("doc_id", "component_id")
+    return own.select("doc_id", "text_hash", "node"), labelled(nodes.select("node", "least", "n"), near_roots(sets, similarity, bits))
+
+
+def near_components(df: DataFrame, similarity: float = SIMILARITY, width: int = NEAR_WIDTH) -> DataFrame:
+    """doc_id and component_id (its least doc_id) of each row of df; see near_groups."""
+    own, placed = near_groups(df, similarity, width)
+    placed = placed.withColumn("component_id", F.col("component_id.doc_id"))
+    return keyed_join(own, placed, "node", own.count()).select("doc_id", "component_id")
 
 
 def keep_one(df: DataFrame, similarity: float = SIMILARITY, width: int = NEAR_WIDTH) -> DataFrame:
-    """df with the row of the least doc_id of each group of near copies. Rows without doc_id stay; of equal doc_ids one row stays."""
-    name = "kept_id"
-    while name in df.columns:
-        name += "_"
-    kept = near_components(df, similarity, width).filter("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
-    named = df.filter("doc_id is not null").join(kept, F.col("doc_id") == F.col(name), "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(df.filter("doc_id is null"))
+    """df with one row of each group of near copies: that of the least doc_id, then of the least hash of its text.
+
+    Rows without doc_id are groups of their own, beside copies that have one. Of rows with equal doc_id and text any one stays.
+    """
+    names = []
+    for name in ("kept_id", "kept_hash", "own_id", "own_hash"):
+        while name in df.columns:
+            name += "_"
+        names.append(name)
+    kept_id, kept_hash, own_id, own_hash = names
+    rows, placed = near_groups(df, similarity, width)
+    named = placed.filter("not component_id.nameless").select("component_id.doc_id", "component_id.text_hash").distinct()
+    nameless = keyed_join(rows.filter("doc_id is null"), placed, "node", rows.count()).groupBy("component_id").agg(F.min("text_hash").alias("text_hash"))
+    kept = named.unionByName(nameless.select(F.lit(None).cast("long").alias("doc_id"), "text_hash")).toDF(kept_id, kept_hash)
+    own = df.withColumn(own_id, F.col("doc_id").cast("long")).withColumn(own_hash, F.xxhash64(F.col("text").cast("string")))
+    there = F.col(own_id).eqNullSafe(F.col(kept_id)) & (F.col(own_hash) == F.col(kept_hash))
+    return own.join(kept, there, "left_semi").dropDuplicates([own_id, own_hash]).drop(own_id, own_hash)

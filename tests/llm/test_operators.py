@@ -260,6 +260,15 @@ def test_keep_one(spark):
     assert sorted((r["doc_id"] is None, r["doc_id"]) for r in got.select("doc_id").collect()) == sorted([(False, 3), (False, 7), (False, 9), (True, None)], key=str) or {r["doc_id"] for r in got.collect()} == {3, 7, 9, None}
 
 
+def test_keep_one_of_each_group_whatever_its_ids(spark):
+    rng = random.Random(33)
+    a, b, c, d = (prose(rng, 80) for _ in range(4))
+    # one id for unlike texts; copies without ids; a copy whose id an unlike text has too; empty texts
+    texts, ids = [a, b, b, c, c, d, d, d, "", None], [1, 1, 2, None, None, None, 7, 1, None, None]
+    got = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in simhash.keep_one(docs(spark, texts, ids)).collect())
+    assert got == sorted([(False, 1, a), (False, 1, b), (True, 0, c), (False, 1, d), (True, 0, d), (True, 0, "")])
+
+
 # --- 3
 
 
