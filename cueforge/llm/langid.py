@@ -178,8 +178,8 @@ def op9(df: DataFrame, folds: int = 5) -> DataFrame:
     return out.select("doc_id", is_held_out(folds).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
-def keep_identified(df: DataFrame, model: Model | None = None, least: float = 0.3) -> DataFrame:
-    """df without the rows whose language can't be told: no letters, or ambiguous with a score under least.
+def keep_identified(df: DataFrame, model: Model | None = None) -> DataFrame:
+    """df without the rows whose language can't be told: no letters, or ambiguous, which no score at or over chance makes up for.
 
     All columns are kept; lang is filled from the prediction where it is null.
     """
@@ -196,8 +196,8 @@ def keep_identified(df: DataFrame, model: Model | None = None, least: float = 0.
                 first = batch.select([order[1] if len(order) > 1 else at, at])
                 begin = 0
                 for part in slices(iter([first]), 1 << 21):
-                    lang, score, doubt = spread.value.predict(part.column(1))
-                    keep = np.array([v != "und" for v in lang]) & ~(doubt & (score < least))
+                    lang, _, doubt = spread.value.predict(part.column(1))
+                    keep = np.array([v != "und" for v in lang]) & ~doubt
                     own = batch.slice(begin, part.num_rows)
                     begin += part.num_rows
                     if "lang" in names:

@@ -665,6 +665,22 @@ def test_language(spark):
     assert not {r["doc_id"] for r in kept.collect()} & {n, n + 1, n + 2}
 
 
+@pytest.mark.parametrize("k", [2, 3, 4])
+def test_ambiguous_texts_are_rejected(spark, k):
+    rng = random.Random(34)
+    parts = [["the", "and", "tion", "ing"], ["der", "und", "ung", "sch"], ["le", "eau", "que", "oux"], ["gli", "zza", "ello", "cchi"]][:k]
+    texts = [prose(rng, 50, parts[i % k]) for i in range(40 * k)]
+    langs = ["abcd"[i % k] for i in range(40 * k)]
+    df = docs(spark, texts, langs=langs)
+    model = langid.train(df)
+    mixed = [prose(rng, n, parts[0]) + " " + prose(rng, 400 - n, parts[1]) for n in range(401) for _ in range(2)]
+    _, score, doubt = model.predict(pa.array(mixed))
+    odd = [t for t, d, v in zip(mixed, doubt, score) if d and v >= 0.3]
+    assert odd
+    kept = {r["text"] for r in langid.keep_identified(docs(spark, texts + odd), model).collect()}
+    assert kept >= set(texts) and not kept & set(odd)
+
+
 def test_language_without_labels(spark):
     rows = langid.op9(docs(spark, ["abc", None])).collect()
     assert [r["lang_pred"] for r in rows] == ["und", "und"]
