@@ -5,8 +5,8 @@ lower-cased text (letters only, other ASCII as a space). Decoding sums the logis
 each codeword, weighted by how reliable the bit was in training, and takes the nearest codeword; a text whose two
 nearest codewords are close is flagged as ambiguous.
 
-Training reads at most max_train documents (a bound that does not grow with the input, shared evenly by the languages),
-picked by a hash of doc_id. Texts that are null or have no letter give `und`, score 0; so does everything when no
+Training takes at most max_per_language documents of each language, or fewer so that all are max_train; one of each language
+at least, however many there are. They are picked by a hash of doc_id and text, and rows with equal ones count once. Texts that are null or have no letter give `und`, score 0; so does everything when no
 language can be learned. Repeated rows each give their own row; ties between codewords go to the first language.
 """
 
@@ -24,7 +24,7 @@ from .common import buffers, mapped, mix, small_batches, text_frame
 
 DIMENSIONS = 1 << 12
 ORDERS = (1, 2, 3, 4)
-#: Bounds of the training sample: documents in all, and for one language.
+#: Bounds of the training sample: documents in all (unless there are more languages), and for one language.
 MAX_TRAIN = 3000
 MAX_PER_LANGUAGE = 600
 #: Texts whose decoding margin is below this are ambiguous.
@@ -135,27 +135,30 @@ def is_held_out(mod: int):
 
 
 def train(df: DataFrame, max_train: int = MAX_TRAIN, max_per_language: int = MAX_PER_LANGUAGE) -> Model:
-    """Learns from text and lang of rows with both, at most max_train of them."""
+    """Learns from text and lang of rows with a lang: of each language max_per_language of them, or its share of max_train; one at least."""
     rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).filter("lang is not null")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_train // 10).collect()}
+    rows = rows.withColumn("draw", F.xxhash64("doc_id", "text", F.lit("train")))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("draw").alias("first")).collect()
     if not counts:
         return fit(np.zeros((0, DIMENSIONS), np.float32), [])
-    each = min(max_per_language, max_train // len(counts))
-    top = 1_000_000
-    cut = None
-    for lang, n in counts.items():
-        edge = min(top, int(top * each / n) + 1)
-        cut = (F.when if cut is None else cut.when)(F.col("lang") == lang, edge)
-    drawn = rows.filter(F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(top)) < cut.otherwise(0))
+    each = max(1, min(max_per_language, max_train // len(counts)))
+    # about each of the language's hashes are under its edge, and the least one is
+    edges = [(r["lang"], max(r["first"], min((1 << 63) - 1, (1 << 64) * each // r["n"] - (1 << 63)))) for r in counts]
+    under = df.sparkSession.createDataFrame(edges, "lang string, edge long")
+    drawn = rows.join(F.broadcast(under), "lang").filter("draw <= edge").groupBy("lang", "draw").agg(F.first("text").alias("text")).select("draw", "text", "lang")
 
     def vectors(batches):
         from .common import slices
 
         for part in slices(batches):
             x = features(part.column(1)).astype(np.float16)
-            yield pa.RecordBatch.from_pydict({"lang": part.column(2), "x": pa.array([r.tobytes() for r in x], pa.binary())})
+            yield pa.RecordBatch.from_pydict({"draw": part.column(0), "lang": part.column(2), "x": pa.array([r.tobytes() for r in x], pa.binary())})
 
-    got = drawn.mapInArrow(vectors, "lang string, x binary").limit(2 * max_train).toArrow()
+    got = drawn.mapInArrow(vectors, "draw long, lang string, x binary").toArrow().sort_by([("lang", "ascending"), ("draw", "ascending")])
+    lang = got["lang"].to_pylist()
+    # those over each, which chance has let under the edge, go by their hash
+    kept = [i for i, v in enumerate(lang) if i < each or lang[i - each] != v]
+    got = got.take(kept)
     x = np.frombuffer(b"".join(got["x"].to_pylist()), np.float16).reshape(-1, DIMENSIONS).astype(np.float32)
     return fit(x, got["lang"].to_pylist())
 

@@ -665,6 +665,21 @@ def test_language(spark):
     assert not {r["doc_id"] for r in kept.collect()} & {n, n + 1, n + 2}
 
 
+def test_training_draws_from_every_language(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(langid, "fit", lambda x, y: seen.append(collections.Counter(y)))
+    texts = [f"text {i}" for i in range(400)]
+    langs = [f"l{i % 12}" if i < 60 else "big" for i in range(400)]
+    # 13 languages, also with a bound under their number; ids that are null or all the same
+    for ids in (None, [None] * 400, [7] * 400):
+        langid.train(docs(spark, texts, ids, langs), max_train=39, max_per_language=30)
+        langid.train(docs(spark, texts, ids, langs), max_train=10)
+        assert set(seen[-2]) == set(seen[-1]) == set(langs)
+        assert set(seen[-1].values()) == {1} and max(seen[-2].values()) <= 3
+    langid.train(docs(spark, ["same"] * 90 + ["other"], [1] * 91, ["a"] * 90 + ["b"]), max_train=20)
+    assert seen[-1] == {"a": 1, "b": 1}
+
+
 @pytest.mark.parametrize("k", [2, 3, 4])
 def test_ambiguous_texts_are_rejected(spark, k):
     rng = random.Random(34)
