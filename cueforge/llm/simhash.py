@@ -18,6 +18,7 @@ whatever number of rows has them. A component's id is the least doc_id that is n
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Callable
 
@@ -217,17 +218,20 @@ def forest(fps: DataFrame, bits: int = BITS) -> DataFrame:
     return keyed.repartition(shuffle_count(fps.sparkSession), "block", "value").mapInArrow(run, "a long, b long")
 
 
-def connected(edges: DataFrame, most_steps: int = 50) -> DataFrame:
+def connected(edges: DataFrame, most_steps: int | None = None) -> DataFrame:
     """node and root (the least node of its component) of every node with an edge, roots left out.
 
     Large-star and small-star alternate until the edges stay as they are; each round is cut off by a checkpoint.
+    With most_steps it is an error if they have not settled by then.
     """
     edges = saved(edges.distinct())
     known = None
-    for _ in range(most_steps):
+    for step in itertools.count():
         now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
         if now["n"] == 0 or (now["n"], now["s"]) == known:
             break
+        if step == most_steps:
+            raise RuntimeError(f"components have not settled in {most_steps} rounds")
         known = now["n"], now["s"]
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))

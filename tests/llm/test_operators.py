@@ -252,6 +252,13 @@ def test_simhash_chains_across_tasks(spark):
     assert len(roots) == len(fps) - 1 and {r["root"] for r in roots} == {min(signed)}
 
 
+def test_components_never_stop_half_way(spark):
+    edges = spark.createDataFrame([(k + 1, k) for k in range(40)], "a long, b long")
+    assert {(r["node"], r["root"]) for r in simhash.connected(edges).collect()} == {(k, 0) for k in range(1, 41)}
+    with pytest.raises(RuntimeError):
+        simhash.connected(edges, most_steps=1)
+
+
 def test_keep_one(spark):
     base = prose(random.Random(2), 80)
     df = docs(spark, [base, base, "other text here", base, None, None], [5, 3, 7, 3, 9, None])
