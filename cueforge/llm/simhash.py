@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +37,12 @@ FAN = 16
 #: Wide fingerprints: 64-bit words, least-hash keys, words of a shingle, and the similarity of near copies.
 WIDE, KEYS, NEAR_WIDTH, SIMILARITY = 4, 10, 5, 0.8
 QUERIES = 1024
+#: Rows of small groups that a worker takes at once; rows, or bytes of sets, of a group that one task takes.
+SLAB, BLOCK_ROWS, BLOCK_BYTES = 1 << 15, 1 << 13, 8 << 20
+#: Rows of a larger group that all its blocks see, and how often such a group is split by further keys before blocks meet blocks.
+LEADERS, REFINE = 8, 2
+#: Edges that are joined in one task.
+FEW = 5000
 _ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -111,13 +117,17 @@ class GrayIndex:
         self.pattern = pattern
         self.rest = [m & ~np.repeat(up, FAN, axis=0)[: len(m)] for m, up in zip(shared, shared[1:])] + [shared[-1]]
 
-    def components(self, bits: int, alike: Callable[[int, int], bool] | None = None) -> np.ndarray:
+    def components(self, bits: int, alike: Callable[[int, int], bool] | None = None, known: np.ndarray | None = None) -> np.ndarray:
         """For each code in Gray order, the place of the first code of its component under links of at most bits.
 
-        With alike only links between places that it confirms count; it is not asked about places joined already.
+        With alike only links between places that it confirms count; it is not asked about places joined already. known: labels
+        of the codes, in Gray order; equal ones are joined from the start.
         """
         n = len(self.codes)
         label = np.arange(n)
+        if known is not None:
+            _, first, place = np.unique(known, return_index=True, return_inverse=True)
+            label = first[place]
         # with alike the first blocks are small, so that a group of near copies is joined before most of its pairs come up
         at, step = 0, 1 if alike else QUERIES
         while at < n:
@@ -193,36 +203,188 @@ def joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = to[label]
 
 
+def whole_groups(batches, limit: int) -> Iterator[pa.Table]:
+    """Rows sorted by their first column, as tables that hold each of its values whole: of about limit rows, or one group."""
+    held: list[pa.Table] = []
+    size = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(pa.Table.from_batches([batch]))
+        size += batch.num_rows
+        if size >= limit:
+            table = pa.concat_tables(held)
+            group = table.column(0).to_numpy()
+            if group[0] != group[-1]:
+                end = int(np.flatnonzero(group != group[-1])[-1]) + 1
+                yield table.slice(0, end).combine_chunks()
+                held = [table.slice(end)]
+                size = held[0].num_rows
+    if held:
+        yield pa.concat_tables(held).combine_chunks()
+
+
+LINK = "a long, b long"
+
+
+def _edge_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"a": pa.array(np.maximum(a, b), pa.int64()), "b": pa.array(np.minimum(a, b), pa.int64())})
+
+
+def _codes(column: pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), -1)
+
+
+def _narrow_links(bits: int, edges: list[tuple[int, int]]):
+    """For rows (group, node, label, block), node the code itself: a spanning forest of the links among many groups at once.
+
+    Links need no common group, so one index serves all rows of a block's groups.
+    """
+
+    def run(batches):
+        for table in whole_groups(batches, SLAB):
+            node, label, block = (table.column(i).to_numpy() for i in (1, 2, 3))
+            code = node.view(np.uint64)
+            for k in np.unique(block).tolist():
+                at = np.flatnonzero(block == k)
+                index = GrayIndex(code[at], sum(edges[k]) % 64)
+                known = label[at][index.order]
+                got, own = index.components(bits, known=known), node[at][index.order]
+                # the least node of a component stands for it, so that forests of other tasks meet in few steps
+                low = np.full(len(own), np.iinfo(np.int64).max)
+                np.minimum.at(low, got, own)
+                to = low[got]
+                keep = own != to
+                yield _edge_batch(own[keep], to[keep])
+
+    return run
+
+
+def _wide_links(bits: int, similarity: float | None):
+    """For rows (group, node, label, fp and, with a similarity, shingles): a spanning forest of each group's links."""
+
+    def linked(node: np.ndarray, label: np.ndarray, code: np.ndarray, shingles) -> tuple[np.ndarray, np.ndarray]:
+        node, first = np.unique(node, return_index=True)
+        index = GrayIndex(code[first])
+        order = first[index.order]
+        alike = None
+        if shingles is not None:
+            own = [np.frombuffer(shingles[i].as_py(), "<u4") for i in order.tolist()]
+
+            def alike(x: int, y: int) -> bool:
+                small, large = sorted((len(own[x]), len(own[y])))
+                return small >= similarity * large and set_similarity(own[x], own[y]) >= similarity
+
+        got = index.components(bits, alike, label[order])
+        own_node = node[index.order]
+        keep = got != np.arange(len(got))
+        return own_node[keep], own_node[got[keep]]
+
+    def run(batches):
+        for table in whole_groups(batches, SLAB if similarity is None else 64):
+            group, node, label = (table.column(i).to_numpy() for i in range(3))
+            shingles = None if similarity is None else table.column(4)
+            start = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+            size = np.diff(np.append(start, len(group)))
+            many = np.flatnonzero(size > 1)
+            if not len(many):
+                continue
+            code = _codes(table.column(3))
+            a, b = [], []
+            if similarity is None:
+                two = start[size == 2]
+                near = two[(np.bitwise_count(code[two] ^ code[two + 1]).sum(1) <= bits) & (node[two] != node[two + 1])]
+                a, b = [node[near]], [node[near + 1]]
+                many = np.flatnonzero(size > 2)
+            for at, n in zip(start[many].tolist(), size[many].tolist(), strict=True):
+                x, y = linked(node[at : at + n], label[at : at + n], code[at : at + n], None if shingles is None else shingles.slice(at, n))
+                a.append(x)
+                b.append(y)
+            yield _edge_batch(np.concatenate(a), np.concatenate(b))
+
+    return run
+
+
+def links(rows: DataFrame, run, limit: int, others: DataFrame | None = None, level: int = 0) -> DataFrame:
+    """Edges (a, b), a > b, saved, that join what the links within each group of rows join.
+
+    rows: group, node, label (known to be joined where equal; the node itself at first), columns that run reads, weight, and at a
+    deeper level used (the keys that split it). run takes batches of whole groups. A group of more than limit weight is no task's: its rows are dealt out into blocks, each
+    with the group's LEADERS least hashes beside it, so that near copies become one component. Rows outside the group's largest
+    component (with all that this left apart) then meet the whole group: by the other keys that they share (others: node, keys),
+    and from level REFINE on block by block, which is exact whatever the group's size. Only blocks' numbers are broadcast: one
+    row for each limit of weight at most.
+    """
+    n = shuffle_count(rows.sparkSession)
+    given = [c for c in rows.columns if c not in ("group", "weight", "used")]
+
+    def dealt(df: DataFrame) -> DataFrame:
+        return df.select("group", *given).repartition(n, "group").sortWithinPartitions("group").mapInArrow(run, LINK)
+
+    big = saved(rows.groupBy("group").agg(F.sum("weight").alias("total")).filter(F.col("total") > limit).select("group", F.ceil(F.col("total") / limit).cast("long").alias("blocks")))
+    if big.isEmpty():
+        return saved(dealt(rows))
+    small = rows.join(F.broadcast(big.select("group")), "group", "left_anti")
+    large = saved(rows.join(F.broadcast(big), "group").withColumn("spot", F.xxhash64("node", F.lit(level))))
+    block = lambda b: F.xxhash64("group", b)
+    row = F.struct("spot", *given, "blocks")
+    leaders = large.groupBy("group", F.pmod("spot", F.lit(LEADERS)).alias("turn")).agg(F.min_by(row, "spot").alias("row")).select("group", "row.*")
+    leaders = leaders.withColumn("slot", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("group", block(F.col("slot").cast("long"))).select("group", *given)
+    members = large.withColumn("group", block(F.pmod(F.shiftright("spot", 8), F.col("blocks")))).select("group", *given)
+    found = saved(dealt(small).unionByName(dealt(members.unionByName(leaders))))
+    # what is joined by now, labels that rows came with included
+    came = large.filter("label <> node").select(F.greatest("label", "node").alias("a"), F.least("label", "node").alias("b"))
+    roots = saved(connected(found.unionByName(came)))
+    placed = saved(large.drop("label").join(roots.select("node", F.col("root").alias("label")), "node", "left").withColumn("label", F.coalesce("label", "node")))
+    parts = placed.groupBy("group", "label").agg(F.count("*").alias("n"), F.sum("weight").alias("w"))
+    apart = saved(parts.groupBy("group").agg(F.max_by("label", F.struct("n", "label")).alias("most"), F.sum("w").alias("w"), F.max_by("w", F.struct("n", "label")).alias("w_most"), F.count("*").alias("k")).filter("k > 1").select("group", "most", F.ceil((F.col("w") - F.col("w_most")) / limit).cast("long").alias("turns")))
+    if apart.isEmpty():
+        return found
+    left = placed.join(F.broadcast(apart), "group").withColumn("minor", F.col("label") != F.col("most"))
+    if others is not None and level < REFINE:
+        used = F.col("used") if level else F.array("group")
+        sub = left.withColumn("used", used).join(others, "node").withColumn("key", F.explode(F.array_except("keys", "used")))
+        sub = sub.withColumn("group", F.xxhash64("group", "key")).withColumn("used", F.array_append("used", F.col("key")))
+        unsettled = sub.filter("minor").select("group").distinct()
+        sub = saved(sub.join(unsettled, "group", "left_semi").select("group", *given, "weight", "used"))
+        return saved(found.unionByName(links(sub, run, limit, others, level + 1)))
+    side = F.pmod(F.shiftright("spot", 8), F.col("blocks"))
+    whole = left.withColumn("turn", F.explode(F.sequence(F.lit(0).cast("long"), F.col("turns") - 1))).withColumn("slot", side)
+    minor = left.filter("minor").withColumn("turn", F.pmod(F.shiftright("spot", 24), F.col("turns"))).withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    met = whole.unionByName(minor).withColumn("group", F.xxhash64("group", "turn", "slot")).select("group", *given)
+    return saved(found.unionByName(dealt(met)))
+
+
 def forest(fps: DataFrame, bits: int = BITS) -> DataFrame:
     """Edges (a, b), a > b, that join what links of at most bits join among the distinct codes fp, found task by task."""
     edges = block_edges(bits)
-    keyed = fps.select("fp", F.explode(F.array(*[F.struct(F.lit(k).alias("block"), F.expr(f"shiftrightunsigned(fp, {a}) & {(1 << w) - 1}L").alias("value")) for k, (a, w) in enumerate(edges)])).alias("key")).select("fp", "key.block", "key.value")
+    keys = F.array(*[F.struct(F.lit(k).alias("block"), F.expr(f"shiftrightunsigned(fp, {a}) & {(1 << w) - 1}L").alias("value")) for k, (a, w) in enumerate(edges)])
+    keyed = fps.select("fp", F.explode(keys).alias("key"))
+    rows = keyed.select((F.col("key.value") * len(edges) + F.col("key.block")).alias("group"), F.col("fp").alias("node"), F.col("fp").alias("label"), "key.block", F.lit(1).alias("weight"))
+    return links(rows, _narrow_links(bits, edges), BLOCK_ROWS)
+
+
+def _few_connected(edges: DataFrame) -> DataFrame:
+    """As connected, in one task, for at most FEW edges."""
 
     def run(batches):
-        held: dict[int, list[np.ndarray]] = {}
-        for batch in batches:
-            fp, block = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for k in np.unique(block).tolist():
-                held.setdefault(k, []).append(fp[block == k].view(np.uint64))
-        for k, parts in held.items():
-            index = GrayIndex(np.concatenate(parts), sum(edges[k]) % 64)
-            label = index.components(bits)
-            own = index.codes[:, 0].copy().view(np.int64)
-            # the least code of a component stands for it, so that forests of other tasks meet in few steps
-            low = np.full(len(own), np.iinfo(np.int64).max)
-            np.minimum.at(low, label, own)
-            to = low[label]
-            keep = own != to
-            yield pa.RecordBatch.from_pydict({"a": pa.array(own[keep]), "b": pa.array(to[keep])})
+        held = [b for b in batches if b.num_rows]
+        if held:
+            table = pa.Table.from_batches(held).combine_chunks()
+            node, place = np.unique(np.concatenate([table.column(0).to_numpy(), table.column(1).to_numpy()]), return_inverse=True)
+            label = joined(np.arange(len(node)), *np.split(place, 2))
+            out = label != np.arange(len(node))
+            yield pa.RecordBatch.from_pydict({"node": pa.array(node[out]), "root": pa.array(node[label[out]])})
 
-    return keyed.repartition(shuffle_count(fps.sparkSession), "block", "value").mapInArrow(run, "a long, b long")
+    return edges.coalesce(1).mapInArrow(run, "node long, root long")
 
 
 def connected(edges: DataFrame, most_steps: int | None = None) -> DataFrame:
     """node and root (the least node of its component) of every node with an edge, roots left out.
 
-    Large-star and small-star alternate until the edges stay as they are; each round is cut off by a checkpoint.
-    With most_steps it is an error if they have not settled by then.
+    Large-star and small-star alternate until the edges stay as they are; each round is cut off by a checkpoint. A node that has
+    more than one in HOT of all edges is not joined by key: see keyed_join. Up to FEW edges take one task and no rounds. With
+    most_steps it is an error if they have not settled by then.
     """
     edges = saved(edges.distinct())
     known = None
@@ -230,15 +392,17 @@ def connected(edges: DataFrame, most_steps: int | None = None) -> DataFrame:
         now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
         if now["n"] == 0 or (now["n"], now["s"]) == known:
             break
+        if step == 0 and most_steps is None and now["n"] <= FEW:
+            return _few_connected(edges)
         if step == most_steps:
             raise RuntimeError(f"components have not settled in {most_steps} rounds")
         known = now["n"], now["s"]
         both = edges.union(edges.select("b", "a"))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+        least = saved(both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n"))
+        large = keyed_join(both, least, "a", 2 * now["n"]).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
         large = saved(large)
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        least = saved(large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")))
+        small = keyed_join(large, least, "a", now["n"]).filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = saved(small.union(least.select("a", F.col("m").alias("b"))).distinct())
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
@@ -312,36 +476,6 @@ def wide_fingerprints(df: DataFrame, width: int = NEAR_WIDTH) -> DataFrame:
     return mapped(text_frame(df).withColumn("text_hash", F.xxhash64("text")), rows, "doc_id long, text_hash long, fp binary, keys array<long>, node long, shingles binary", 1 << 21)
 
 
-def near_forest(nodes: DataFrame, bits: int) -> DataFrame:
-    """As forest, for nodes (node, fp, keys) with wide fingerprints: links within bits among nodes that share a key."""
-    keyed = nodes.select("node", "fp", F.explode("keys").alias("key"))
-
-    def run(batches):
-        held = [b.select([0, 1, 2]) for b in batches if b.num_rows]
-        if not held:
-            return
-        table = pa.Table.from_batches(held).combine_chunks()
-        node, key = table.column(0).to_numpy(), table.column(2).to_numpy()
-        code = np.frombuffer(b"".join(table.column(1).to_pylist()), np.uint64).reshape(-1, WIDE)
-        order = np.argsort(key, kind="stable")
-        node, key, code = node[order], key[order], code[order]
-        start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        size = np.diff(np.append(start, len(key)))
-        two = start[size == 2]
-        near = two[np.bitwise_count(code[two] ^ code[two + 1]).sum(1) <= bits]
-        a, b = [node[near]], [node[near + 1]]
-        for at, n in zip(start[size > 2].tolist(), size[size > 2].tolist(), strict=True):
-            index = GrayIndex(code[at : at + n])
-            label = index.components(bits)
-            own = node[at : at + n][index.order]
-            a.append(own[label != np.arange(n)])
-            b.append(own[label[label != np.arange(n)]])
-        a, b = np.concatenate(a), np.concatenate(b)
-        yield pa.RecordBatch.from_pydict({"a": pa.array(np.maximum(a, b)), "b": pa.array(np.minimum(a, b))})
-
-    return keyed.repartition(shuffle_count(nodes.sparkSession), "key").mapInArrow(run, "a long, b long")
-
-
 def set_similarity(a: np.ndarray, b: np.ndarray) -> float:
     """Shared members by all members of two sets in order, neither empty."""
     both = np.concatenate([a, b])
@@ -350,49 +484,6 @@ def set_similarity(a: np.ndarray, b: np.ndarray) -> float:
     return shared / (len(both) - shared)
 
 
-def near_roots(sets: DataFrame, similarity: float, bits: int) -> DataFrame:
-    """node and root, as connected gives them, of links of at least that similarity between the sets of one group.
-
-    sets: group, node, fp and shingles, each node once. A group's sets are in one task's memory, one group at a time.
-    """
-
-    def linked(node: list[int], fp: list[bytes], shingles: list[bytes]) -> tuple[list[int], list[int]]:
-        index = GrayIndex(np.frombuffer(b"".join(fp), np.uint64).reshape(-1, WIDE))
-        own = [np.frombuffer(shingles[i], "<u4") for i in index.order.tolist()]
-        size = [len(x) for x in own]
-
-        def alike(x: int, y: int) -> bool:
-            return min(size[x], size[y]) >= similarity * max(size[x], size[y]) and set_similarity(own[x], own[y]) >= similarity
-
-        label = index.components(bits, alike).tolist()
-        order = index.order.tolist()
-        pairs = [(node[order[i]], node[order[to]]) for i, to in enumerate(label) if i != to]
-        return [a for a, _ in pairs], [b for _, b in pairs]
-
-    def run(batches):
-        group, held = None, ([], [], [])
-        a, b = [], []
-        for batch in batches:
-            for g, *row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                if g != group:
-                    if len(held[0]) > 1:
-                        x, y = linked(*held)
-                        a += x
-                        b += y
-                    group, held = g, ([], [], [])
-                for own, v in zip(held, row, strict=True):
-                    own.append(v)
-            if a:
-                yield pa.RecordBatch.from_pydict({"node": pa.array(a, pa.int64()), "root": pa.array(b, pa.int64())})
-                a, b = [], []
-        if len(held[0]) > 1:
-            a, b = linked(*held)
-            yield pa.RecordBatch.from_pydict({"node": pa.array(a, pa.int64()), "root": pa.array(b, pa.int64())})
-
-    dealt = sets.select("group", "node", "fp", "shingles").repartition(shuffle_count(sets.sparkSession), "group").sortWithinPartitions("group")
-    return dealt.mapInArrow(run, "node long, root long")
-
-
 def near_groups(df: DataFrame, similarity: float, width: int) -> tuple[DataFrame, DataFrame]:
     """doc_id, text_hash and node of each row of df, and component_id and n of each node, under links between sets of shingles of at least that similarity.
 
@@ -402,10 +493,15 @@ def near_groups(df: DataFrame, similarity: float, width: int) -> tuple[DataFrame
     row = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")
     nodes = saved(own.groupBy("node").agg(F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.min(row).alias("least"), F.count("*").alias("n")))
     bits = places_apart(similarity)
-    wide = connected(near_forest(nodes, bits))
+    keyed = nodes.select(F.explode("keys").alias("group"), "node", F.col("node").alias("label"), "fp", F.lit(1).alias("weight"))
+    wide = connected(links(keyed, _wide_links(bits, None), BLOCK_ROWS, nodes.select("node", "keys")))
     wide = wide.unionByName(wide.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("root", "group")
-    sets = own.groupBy("node").agg(F.first("fp").alias("fp"), F.first("shingles").alias("shingles")).join(wide, "node")
-    return own.select("doc_id", "text_hash", "node"), labelled(nodes.select("node", "least", "n"), near_roots(sets, similarity, bits))
+    wide = saved(wide.join(nodes.select("node", "n"), "node"))
+    # the sets of those nodes that have a candidate, once each
+    sets = keyed_join(own.select("node", "fp", "shingles"), wide, "node", own.count())
+    sets = saved(sets.groupBy("node", "group").agg(F.first("fp").alias("fp"), F.first("shingles").alias("shingles")))
+    sets = sets.select("group", "node", F.col("node").alias("label"), "fp", "shingles", F.length("shingles").alias("weight"))
+    return own.select("doc_id", "text_hash", "node"), labelled(nodes.select("node", "least", "n"), connected(links(sets, _wide_links(bits, similarity), BLOCK_BYTES)))
 
 
 def near_components(df: DataFrame, similarity: float = SIMILARITY, width: int = NEAR_WIDTH) -> DataFrame:
