@@ -5,7 +5,9 @@ at/dot disguises into plain characters while it keeps, for each character that i
 came from; the same detectors run over its output, and what they find there is mapped back to source offsets.
 A found span is added if it holds a rewritten character and overlaps no base span of its kind.
 
-Null and empty texts give no span. Offsets are code points, ends exclusive. Repeated rows each give their own row.
+Null and empty texts give no span. Offsets are code points, ends exclusive. Repeated rows each give their own row, rows with null or
+equal doc_ids too. An empty table gives none; other columns are not looked at, whatever their names. Each pattern's time is linear in the
+text, so a very long text, or run of white space, costs what its length does. Of two spans that begin at one place, base ones stay.
 """
 
 from __future__ import annotations
@@ -37,20 +39,40 @@ LOOKALIKES = {
     "ı": "i", "ɡ": "g", "‐": "-", "‑": "-", "‒": "-", "–": "-", "−": "-", "․": ".", "。": ".", "∙": ".",
 }
 _INVISIBLE = frozenset("­​‌‍⁠﻿")
-NUMBERS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
-_NUMBER = "|".join(NUMBERS)
+#: Spelled digits of the corpus's languages (English, German, French, Spanish), by digit.
+NUMBERS = {
+    word: str(digit)
+    for digit, own in enumerate((
+        "zero oh null zéro cero", "one eins un uno", "two zwei deux dos", "three drei trois tres", "four vier quatre cuatro",
+        "five fünf cinq cinco", "six sechs seis", "seven sieben sept siete", "eight acht huit ocho", "nine neun neuf nueve",
+    ))
+    for word in own.split()
+}
+_NUMBER = "|".join(sorted(NUMBERS, key=len, reverse=True))
 _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
-_DOT = rf"(?:\s*{_OPEN}\s*(?:dot|punto|punkt|point|\.)\s*{_CLOSE}\s*|\s+dot\s+)"
-_AT = rf"(?:\s*{_OPEN}\s*(?:at|arroba|@)\s*{_CLOSE}\s*)"
+_DOTS = "dot|punto|punkt|point"
+#: All white space before a sign, tried only where a run begins: else a long run that no sign follows takes time by its square.
+_LEAD, _GAP = r"(?:(?<!\s)\s++)?", r"(?<!\s)\s++"
+_BOXED_DOT = rf"{_LEAD}{_OPEN}\s*+(?:{_DOTS}|\.)\s*+{_CLOSE}\s*+"
+_DOT = rf"(?:{_BOXED_DOT}|{_GAP}(?:{_DOTS})\s++)"
+_AT = rf"(?:{_LEAD}{_OPEN}\s*+(?:at|ät|arroba|arobase|@)\s*+{_CLOSE}\s*+)"
+
+
+def _bare_at(at: str, dots: str) -> str:
+    """at as a word of its own, if a name and a dot in the same language follow: 'at this point we' is no disguise."""
+    return rf"(?<=[A-Za-z0-9])\s++(?:{at})\s++(?=[A-Za-z0-9-]+(?:{_BOXED_DOT}|{dots})[A-Za-z0-9])"
+
+
 _SIGNS = (
-    rf"(?P<at>{_AT}|(?<=[A-Za-z0-9])\s+at\s+(?=[A-Za-z0-9-]+{_DOT}[A-Za-z0-9])|(?<=[A-Za-z0-9])[-_]at[-_](?=[A-Za-z0-9]+[-_]dot[-_][A-Za-z0-9]))|(?P<dot>{_DOT}|(?<=[A-Za-z0-9])[-_]dot[-_](?=[A-Za-z0-9]))"
-    rf"|(?P<plus>\bplus\s+(?=[0-9]|(?:{_NUMBER})\b))"
+    rf"(?P<at>{_AT}|{_bare_at('at|ät', rf'{_GAP}(?:dot|punkt)\s++')}|{_bare_at('arroba', rf'\.|{_GAP}(?:dot|punto)\s++')}|{_bare_at('arobase', rf'\.|{_GAP}(?:dot|point)\s++')}"
+    rf"|(?<=[A-Za-z0-9])[-_]at[-_](?=[A-Za-z0-9]+[-_]dot[-_][A-Za-z0-9]))|(?P<dot>{_DOT}|(?<=[A-Za-z0-9])[-_]dot[-_](?=[A-Za-z0-9]))"
+    rf"|(?P<plus>\bplus\s++(?=[0-9]|(?:{_NUMBER})\b))"
 )
 _RULES = re.compile(rf"{_SIGNS}|(?P<number>(?<![A-Za-z])(?:{_NUMBER})(?![A-Za-z]))", re.IGNORECASE)
-#: Found where any of _SIGNS is: white space before a bracket or dot decides nothing, and leaving it out keeps long runs of it linear.
-_SIGN = re.compile(_SIGNS.replace(r"(?:\s*", "(?:").replace(r"|\s+dot", r"|\sdot"), re.IGNORECASE)
+#: Found where any of _SIGNS is: white space before a sign decides nothing.
+_SIGN = re.compile(_SIGNS.replace(_LEAD, "").replace(_GAP, r"\s"), re.IGNORECASE)
 #: Four or more digits in a row, spelled or not.
-_SPELLED = re.compile(rf"(?<![A-Za-z0-9])(?:{_NUMBER}|[0-9]++)(?:(?:[ ,-]+|\s+dot\s+|\s*{_OPEN}dot{_CLOSE}\s*)(?:{_NUMBER}|[0-9]++)(?![A-Za-z])){{3,}}", re.IGNORECASE)
+_SPELLED = re.compile(rf"(?<![A-Za-z0-9])(?:{_NUMBER}|[0-9]++)(?:(?:[ ,-]+|\s++(?:{_DOTS})\s++|\s*+{_OPEN}(?:{_DOTS}){_CLOSE}\s*+)(?:{_NUMBER}|[0-9]++)(?![A-Za-z])){{3,}}", re.IGNORECASE)
 #: Letters for digits: runs of digits and separators with O or l in them.
 _LETTERED = re.compile(r"(?<![A-Za-z0-9])[0-9OoIl][0-9OoIl .()-]{5,}[0-9OoIl](?![A-Za-z0-9])")
 _AS_DIGIT = {"O": "0", "o": "0", "I": "1", "l": "1"}
@@ -109,6 +131,11 @@ def _letters(text: str) -> Iterator[int]:
             yield from letters
 
 
+def _folded(word: str) -> str:
+    """word as NUMBERS has it: matching without case takes letters, such as a long s, whose lower case is another."""
+    return word.casefold().replace("\u0307", "")
+
+
 def transduce(text: str) -> tuple[str, list[int], list[int], list[bool]]:
     """Normal form, and for each of its characters where its source starts and ends and whether it was rewritten."""
     out: list[str] = []
@@ -134,7 +161,7 @@ def transduce(text: str) -> tuple[str, list[int], list[int], list[bool]]:
         if m["number"] and not any(x <= a and b <= y for x, y in spelled):
             continue
         copy(at, a)
-        parts.append("@" if m["at"] else "." if m["dot"] else "+" if m["plus"] else NUMBERS[m["number"].lower()])
+        parts.append("@" if m["at"] else "." if m["dot"] else "+" if m["plus"] else NUMBERS[_folded(m["number"])])
         s2.append(start[a]), e2.append(end[b - 1]), n2.append(True)
         at = b
     copy(at, len(mid))
