@@ -5,7 +5,9 @@ partition. Partition totals (one number a task) give every partition its global
 stream of all tokens into fixed windows. A document over a window's edge gives one boundary record per piece. Only the
 last sequence of all is not full.
 
-Null texts are empty and hold the end id alone. Repeated rows are packed each. Ids are those of the tokenizers library.
+Null texts are empty and hold the end id alone. Repeated rows and rows with equal or null doc_ids are packed each; a very long text has
+as many pieces as windows it reaches. An empty table has no pieces. Other columns are not looked at, whatever their names. Ids are
+those of the tokenizers library.
 """
 
 from __future__ import annotations
@@ -35,21 +37,24 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 
 
 class Encoder:
-    """Ids of texts by a tokenizers file; strings of special tokens are ordinary text.
+    """Ids of texts by a tokenizers file. Strings of special tokens are ordinary text, or with special the tokens' own ids.
 
     Texts of Latin letters, on whose character classes all libraries agree, take the same vocabulary's rank file, whose
     merges give the same ids in a fifth of the time (tests hold the two together). Other texts take the file itself.
     """
 
-    loaded: dict[str, Encoder] = {}
+    loaded: dict[tuple[str, bool], Encoder] = {}
     plain = re.compile(r"[^\t-\r -~\xa1-\u024f‐-‧€]")
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = False):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
+        # the rank file knows no added tokens, so texts that hold one's string go to the tokenizers file
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if special else []
+        self.slow = re.compile("|".join([self.plain.pattern, *map(re.escape, added)]))
         self.fast = self._ranks(path.removesuffix(".json") + ".tiktoken")
 
     @staticmethod
@@ -65,18 +70,18 @@ class Encoder:
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        if self.fast is not None and not self.plain.search(text):
+        if self.fast is not None and not self.slow.search(text):
             return array("I", self.fast(text)).tobytes()
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     @classmethod
-    def get(cls, path: str) -> Encoder:
-        if path not in cls.loaded:
-            cls.loaded[path] = cls(path)
-        return cls.loaded[path]
+    def get(cls, path: str, special: bool = False) -> Encoder:
+        if (path, special) not in cls.loaded:
+            cls.loaded[path, special] = cls(path, special)
+        return cls.loaded[path, special]
 
 
-def tokenized(df: DataFrame, path: str | None = None, end_id: int = END_ID) -> DataFrame:
+def tokenized(df: DataFrame, path: str | None = None, end_id: int = END_ID, special: bool = False) -> DataFrame:
     """part, at (tokens of the partition before it), doc_id, n (with the end id), ids."""
     path = path or tokenizer_path()
 
@@ -84,7 +89,7 @@ def tokenized(df: DataFrame, path: str | None = None, end_id: int = END_ID) -> D
         from pyspark import TaskContext
 
         part, at, end = TaskContext.get().partitionId(), 0, np.array([end_id], "<u4").tobytes()
-        encoder = Encoder.get(path)
+        encoder = Encoder.get(path, special)
         for rows in slices(batches):
             ids = [encoder.ids(t or "") + end for t in rows.column(1).to_pylist()]
             n = np.array([len(i) // 4 for i in ids], np.int64)
@@ -104,12 +109,13 @@ def unpacked(kept: bytes) -> np.ndarray:
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def pack(df: DataFrame, window: int = WINDOW, path: str | None = None, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+def pack(df: DataFrame, window: int = WINDOW, path: str | None = None, end_id: int = END_ID, with_ids: bool = False, special: bool = False) -> DataFrame:
     """A row for each piece: PIECES, and with with_ids the piece's ids.
 
-    The driver holds one total per partition of df, nothing by document.
+    special: a special token's string in a text becomes the token's id, as in a plain call of the tokenizer; else it is ordinary text, so
+    that no document can write an end of text. The driver holds one total per partition of df, nothing by document.
     """
-    tokens = saved(tokenized(df, path, end_id))
+    tokens = saved(tokenized(df, path, end_id, special))
     totals = sorted((r["part"], r["n"]) for r in tokens.groupBy("part").agg(F.sum("n").alias("n")).collect())
     before, base = 0, {}
     for part, n in totals:

@@ -27,7 +27,7 @@ def op4_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_pack_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(documents(spark, sf_dir))
+    return packing.pack(documents(spark, sf_dir), special=True)
 
 
 def op6_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
