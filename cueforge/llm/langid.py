@@ -81,6 +81,10 @@ def codewords(k: int, length: int, seed: int = 7) -> np.ndarray:
     return best.astype(np.float32)
 
 
+def has_letter(texts: pa.Array) -> np.ndarray:
+    return pc.match_substring_regex(texts.fill_null("") if texts.null_count else texts, r"\pL").to_numpy(zero_copy_only=False).astype(bool)
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -93,8 +97,7 @@ class Model:
     def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, score and ambiguity of each text."""
         n = len(texts)
-        # ASCII letters by byte value; any non-ASCII byte needs the slower look
-        letter = pc.match_substring_regex(texts.fill_null("") if texts.null_count else texts, r"\pL").to_numpy(zero_copy_only=False).astype(bool)
+        letter = has_letter(texts)
         if not self.languages:
             return ["und"] * n, np.zeros(n), np.zeros(n, bool)
         margin = features(texts) @ self.weights + self.bias
@@ -184,7 +187,8 @@ def op9(df: DataFrame, folds: int = 5) -> DataFrame:
 def keep_identified(df: DataFrame, model: Model | None = None) -> DataFrame:
     """df without the rows whose language can't be told: no letters, or ambiguous, which no score at or over chance makes up for.
 
-    All columns are kept; lang is filled from the prediction where it is null.
+    All columns are kept; lang is filled from the prediction where it is null. Where no row has a lang there is no language to tell,
+    so only texts without letters go, and lang stays null.
     """
     spread = df.sparkSession.sparkContext.broadcast(model or train(df))
     at, names = small_batches(df).columns.index("text"), df.columns
@@ -200,10 +204,10 @@ def keep_identified(df: DataFrame, model: Model | None = None) -> DataFrame:
                 begin = 0
                 for part in slices(iter([first]), 1 << 21):
                     lang, _, doubt = spread.value.predict(part.column(1))
-                    keep = np.array([v != "und" for v in lang]) & ~doubt
+                    keep = has_letter(part.column(1)) & ~doubt
                     own = batch.slice(begin, part.num_rows)
                     begin += part.num_rows
-                    if "lang" in names:
+                    if "lang" in names and spread.value.languages:
                         i = names.index("lang")
                         own = own.set_column(i, "lang", pc.coalesce(own.column(i), pa.array(lang, own.column(i).type)))
                     yield own.filter(pa.array(keep))
