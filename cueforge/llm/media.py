@@ -24,6 +24,7 @@ from .common import HOT, buffers, mapped, mix, saved, slices, text_frame
 BLOCK = 192
 RATE = 8000
 LEAST, MEAN, MOST = 1 << 11, 1 << 13, 1 << 15
+SPREAD = 64
 _GEAR = (mix(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 
 
@@ -165,8 +166,15 @@ def reconstruct(listed: DataFrame, store: DataFrame) -> DataFrame:
 
 
 def op1(df: DataFrame) -> DataFrame:
-    """Every row's payload, stored in chunks and read back. Media are read once however many rows share them."""
+    """Every row's payload, stored in chunks and read back. Media are read once however many rows share them.
+
+    The rows of a medium that more than one in HOT of all share are dealt out over SPREAD copies of its row.
+    """
     listed = saved(manifests(df))
     distinct = listed.groupBy("medium").agg(F.first("size").alias("size"), F.first("digests").alias("digests"))
     media = reconstruct(distinct, chunk_store(df))
-    return listed.select("doc_id", "n_bytes", "medium").join(media, "medium").select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_chunks")
+    hot = saved(listed.groupBy("medium").agg(F.count("*").alias("n")).filter(F.col("n") > listed.count() / HOT).select("medium", F.lit(SPREAD).alias("copies")))
+    with_copies = lambda rows: rows.join(F.broadcast(hot), "medium", "left").withColumn("copies", F.coalesce("copies", F.lit(1)))
+    own = with_copies(listed.select("doc_id", "n_bytes", "medium")).withColumn("copy", F.pmod(F.monotonically_increasing_id(), "copies").cast("int"))
+    media = with_copies(media).withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
+    return own.drop("copies").join(media, ["medium", "copy"]).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_chunks")
