@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import gc
 import os
+import re
 import tempfile
 import time
 from collections.abc import Callable, Iterator
@@ -34,11 +35,18 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a temporary one only where the setting is absent (local tests)."""
-    set_dir = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder of spark.checkpoint.dir, else the context's own checkpoint folder.
+
+    Where neither is set, a temporary folder for a local master (tests); on a cluster, whose executors share no local folders, an error.
+    """
+    set_dir, own = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext._jsc.sc().getCheckpointDir()
+    if not set_dir and own.isDefined():
+        return own.get()
     if not set_dir:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         set_dir = "file://" + os.path.join(tempfile.gettempdir(), "cueforge-checkpoints")
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+    if not own.isDefined():
         spark.sparkContext.setCheckpointDir(set_dir)
     return set_dir
 
@@ -68,9 +76,12 @@ def settled(spark: SparkSession) -> None:
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """df; from now on Arrow batches between Spark and Python have at most BATCH_BYTES, unless the session sets its own."""
+    """df; from now on Arrow batches between Spark and Python have at most BATCH_BYTES, unless the session has set any bound.
+
+    Plans read the setting when they run, so it stays set.
+    """
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if df.sparkSession.conf.get(name) in ("67108864b", "64MB", "64m"):  # the default
+    if name not in df.sparkSession.conf.getAll:
         df.sparkSession.conf.set(name, str(BATCH_BYTES))
     return df
 
