@@ -8,27 +8,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions.strings import cleaned, col
-from .phonetic import FINAL_GROUPS, INITIAL_GROUPS, SYLLABLES
+from .phonetic import SYLLABLES, Readings, similar
 
 SUBS = "array<struct<wrong:string,correct:string>>"
 LEAST_RATIO = 0.4
-_INITIALS = ("zh", "ch", "sh", *"bpmfdtnlgkhjqxrzcsyw")
-
-
-def _parts(py: str) -> tuple[str, str]:
-    head = next((i for i in _INITIALS if py.startswith(i)), "")
-    return head, py[len(head) :]
-
-
-def similar(a: str, b: str) -> bool:
-    """As phonetic.similar_syllables, for the backtrace."""
-    if a == b:
-        return True
-    (ia, fa), (ib, fb) = _parts(a), _parts(b)
-    together = lambda x, y, groups: any(x in g and y in g for g in groups)
-    if ia == ib:
-        return fa == fb or together(fa, fb, FINAL_GROUPS)
-    return fa == fb and bool(ia and ib) and together(ia, ib, INITIAL_GROUPS)
 
 
 def edit_steps(t: str, r: str):
@@ -71,9 +54,9 @@ def substitutions(t: str, r: str, syllables: dict[str, str], least_ratio: float
     return [{"wrong": x, "correct": y} for x, y in steps if x is not None and y is not None and x != y and similar(read(x), read(y))]
 
 
-def align_subs(text: Column | str, refs: Column | str, syllables: dict[str, str] | None = None, least_ratio: float = LEAST_RATIO) -> Column:
+def align_subs(text: Column | str, refs: Column | str, syllables: dict[str, str] | Readings | None = None, least_ratio: float = LEAST_RATIO) -> Column:
     """SUBS between text and the joined reference text, both cleaned of spaces and marks first. Nulls count as empty."""
-    table = dict(SYLLABLES if syllables is None else syllables)
+    table = syllables.chars if isinstance(syllables, Readings) else dict(SYLLABLES if syllables is None else syllables)
 
     @F.pandas_udf(SUBS)
     def run(t: pd.Series, r: pd.Series) -> pd.Series:

@@ -73,21 +73,29 @@ def align_overlap(cues: DataFrame, refs: DataFrame, strict_order: bool = False,
     """
     found = pairs(cues, refs, 0, bin_ms)
     if strict_order:
-        stop = _first_later(cues, refs)
+        stop = first_later(cues, refs)
         found = found.join(stop, ["file_id", "ordinal"], "left").filter("stop is null or r_ordinal < stop").drop("stop")
     texts = F.array_sort(F.collect_list(F.struct("r_ordinal", "r_text")))
     grouped = found.groupBy("file_id", "ordinal").agg(F.array_join(F.transform(texts, lambda r: r["r_text"]), " ").alias("ref"))
     return cues.join(grouped, ["file_id", "ordinal"], "left").withColumn("ref", F.coalesce("ref", F.lit("")))
 
 
-def _first_later(cues: DataFrame, refs: DataFrame) -> DataFrame:
-    """For each cue, the least ordinal of the references that start after its end (references not reversed)."""
-    both = cues.select("file_id", "ordinal", F.col("end_ms").alias("at"), F.lit(0).alias("kind")).unionByName(
-        refs.filter("end_ms >= start_ms").select("file_id", F.col("ordinal"), F.col("start_ms").alias("at"), F.lit(1).alias("kind"))
-    )
-    # from the end of the file backward; of equal times the cue comes first, since a start at the end doesn't count
-    later = W.partitionBy("file_id").orderBy(F.desc("at"), F.asc("kind")).rowsBetween(W.unboundedPreceding, W.currentRow)
-    return both.withColumn("stop", F.min(F.when(F.col("kind") == 1, F.col("ordinal"))).over(later)).filter("kind = 0").select("file_id", "ordinal", "stop")
+def first_later(cues: DataFrame, refs: DataFrame, bin_ms: int = 60_000) -> DataFrame:
+    """For each cue, the least ordinal of the references that start after its end (references not reversed).
+
+    Within a bin of time by a window over its rows, beyond it by the later bins' least ordinals: no task has all of a file's rows.
+    """
+    bin_of = F.floor(F.col("at") / bin_ms).cast("long").alias("bin")
+    ends = cues.select("file_id", "ordinal", F.col("end_ms").alias("at"), F.lit(0).alias("kind"))
+    starts = refs.filter("end_ms >= start_ms").select("file_id", "ordinal", F.col("start_ms").alias("at"), F.lit(1).alias("kind"))
+    both = ends.unionByName(starts).select("*", bin_of)
+    number = F.when(F.col("kind") == 1, F.col("ordinal"))
+    # from the end of the bin backward; of equal times the cue comes first, since a start at the end doesn't count
+    later = W.partitionBy("file_id", "bin").orderBy(F.desc("at"), F.asc("kind")).rowsBetween(W.unboundedPreceding, W.currentRow)
+    inner = both.withColumn("inner", F.min(number).over(later)).filter("kind = 0")
+    beyond = W.partitionBy("file_id").orderBy(F.desc("bin")).rowsBetween(W.unboundedPreceding, -1)
+    bins = both.groupBy("file_id", "bin").agg(F.min(number).alias("least")).withColumn("outer", F.min("least").over(beyond)).select("file_id", "bin", "outer")
+    return inner.join(bins, ["file_id", "bin"]).select("file_id", "ordinal", F.least("inner", "outer").alias("stop"))
 
 
 def nearest_refs(cues: DataFrame, refs: DataFrame, n: int = 5, window_ms: int = 5000, bin_ms: int = 20_000) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import fixed
 from ..functions.strings import col, replace_first, strip, without_fences, without_reasoning
-from .phonetic import is_homophone, syllable_map
+from .phonetic import Readings, is_homophone, syllable_map
 
 CORRECTION = "corrected string, confidence double, notes string, status string, error string"
 FIXES = "array<struct<wrong:string,correct:string,wrong_bad:boolean,correct_bad:boolean>>"
@@ -63,7 +63,9 @@ def parse_correction(raw: Column | str, noisy: Column | str, call_error: Column
     if call_error is not None:
         error, failed = F.coalesce(call_error, error), call_error.isNotNull() | failed
     low = (p["status"] == "json") & (p["confidence"] < LOW_CONFIDENCE)
-    said = F.when(p["notes"].isNotNull() & (p["notes"] != ""), p["notes"]).otherwise(F.concat(F.lit("Low confidence ("), fixed(p["confidence"], 2), F.lit(")")))
+    # the number is written for flagged rows alone: others pass a null
+    number = fixed(F.when(low, p["confidence"]), 2)
+    said = F.when(p["notes"].isNotNull() & (p["notes"] != ""), p["notes"]).otherwise(F.concat(F.lit("Low confidence ("), number, F.lit(")")))
     return F.struct(
         F.when(failed, noisy).when(p["status"] == "text", F.when(raw != "", raw).otherwise(noisy)).when(p["corrected"] == "\0", noisy).otherwise(p["corrected"]).alias("corrected"),
         F.when(failed, 0.0).when(p["status"] == "text", TEXT_CONFIDENCE).otherwise(p["confidence"]).alias("confidence"),
@@ -99,14 +101,26 @@ def parse_fixes(raw: Column | str) -> Column:
     return _fix_lists(without_fences(without_reasoning(F.coalesce(col(raw), F.lit("")))))
 
 
-def apply_fixes(text: Column | str, fixes: Column | str, syllables: Column | None = None) -> Column:
+def _heard(fixes: Column, syllables: Column | Readings | None) -> Column:
+    """fixes with ok: whether the two texts sound alike. With Readings on Arrow batches, else by column functions."""
+    if isinstance(syllables, Readings):
+
+        @F.pandas_udf(FIXES[:-2] + ",ok:boolean>>")
+        def run(fixes: pd.Series) -> pd.Series:
+            return pd.Series([None if own is None else [{**f, "ok": syllables.alike(f["wrong"], f["correct"])} for f in own] for own in fixes])
+
+        return run.asNondeterministic()(fixes)
+    table = syllable_map() if syllables is None else syllables
+    return F.transform(fixes, lambda f: F.struct(f["wrong"].alias("wrong"), f["correct"].alias("correct"), f["wrong_bad"].alias("wrong_bad"), f["correct_bad"].alias("correct_bad"), is_homophone(f["wrong"], f["correct"], table).alias("ok")))
+
+
+def apply_fixes(text: Column | str, fixes: Column | str, syllables: Column | Readings | None = None) -> Column:
     """struct<text, failed>: a left fold over the fixes, each against what the ones before made.
 
     A fix counts if its wrong text is there, is as long as the correct one, and sounds like it; the leftmost place changes.
     failed tells that a value that is no text was met, for which the whole cue goes back.
     """
-    syllables = syllable_map() if syllables is None else syllables
-    checked = F.transform(col(fixes), lambda f: F.struct(f["wrong"].alias("wrong"), f["correct"].alias("correct"), f["wrong_bad"].alias("wrong_bad"), f["correct_bad"].alias("correct_bad"), is_homophone(f["wrong"], f["correct"], syllables).alias("ok")))
+    checked = _heard(col(fixes), syllables)
     state = lambda t, failed: F.struct(t.alias("text"), failed.alias("failed"))
 
     def step(s: Column, f: Column) -> Column:
@@ -118,8 +132,7 @@ def apply_fixes(text: Column | str, fixes: Column | str, syllables: Column | Non
     return F.aggregate(checked, state(col(text), F.lit(False)), step)
 
 
-def rejected_fixes(text: Column | str, fixes: Column | str, syllables: Column | None = None) -> Column:
+def rejected_fixes(text: Column | str, fixes: Column | str, syllables: Column | Readings | None = None) -> Column:
     """The fixes whose wrong text is in text, with equal lengths, that don't sound alike."""
-    syllables = syllable_map() if syllables is None else syllables
     t = col(text)
-    return F.filter(col(fixes), lambda f: (F.position(f["wrong"], t) > 0) & (F.length(f["wrong"]) == F.length(f["correct"])) & ~is_homophone(f["wrong"], f["correct"], syllables))
+    return F.filter(_heard(col(fixes), syllables), lambda f: (F.position(f["wrong"], t) > 0) & (F.length(f["wrong"]) == F.length(f["correct"])) & ~f["ok"])

@@ -6,6 +6,7 @@ import argparse
 import importlib
 import os
 import sys
+import time
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,22 @@ from . import pipelines
 
 KEY = "CUEFORGE_API_KEY"
 ONE = "file"
+#: The wording of the run summary and of the score report.
+SUMMARY = "Segments processed: {total}\nAvg confidence: {avg_confidence:.2%}\nFlagged for review: {flagged} ({rate})\nNo reference match: {no_ref}"
+SCORE = "Normalized Levenshtein distance: {distance:.4f}\nSimilarity: {similarity:.4f} ({percent:.1f}%)"
+SCORED_FILE = "File {k}: {name} ({size} chars)"
+
+
+def api_key(args: argparse.Namespace, folder: str = ".") -> str | None:
+    """The key given, else of the environment, else of a .env file (lines NAME=value, quotes and 'export' taken off)."""
+    if args.api_key or os.environ.get(KEY):
+        return args.api_key or os.environ[KEY]
+    path = Path(folder, ".env")
+    for line in path.read_text(encoding="utf-8").splitlines() if path.is_file() else []:
+        name, found, value = line.strip().removeprefix("export ").partition("=")
+        if found and name.strip() == KEY:
+            return value.strip().strip("\"'") or None
+    return None
 
 
 def parser() -> argparse.ArgumentParser:
@@ -74,7 +91,7 @@ def content(rendered: DataFrame) -> str:
 def replies(spark: SparkSession, args: argparse.Namespace, requests: DataFrame, delay: float) -> DataFrame | None:
     if args.replies:
         return spark.read.schema("ordinal int, raw string, error string").json(args.replies).withColumn("file_id", F.lit(ONE))
-    key = args.api_key or os.environ.get(KEY)
+    key = api_key(args)
     if not key or not args.url:
         return None
     return with_replies(requests, lambda: HttpCorrector(args.url, args.model, key, delay=delay), calls_at_once=1).cache()
@@ -96,11 +113,11 @@ def correct(spark: SparkSession, args: argparse.Namespace) -> None:
         Path(args.flagged or str(Path(args.output).with_suffix("")) + ".flagged.txt").write_text(report, encoding="utf-8")
     s = run_summary(out).first()
     rate = "-" if s["flag_rate"] is None else f"{s['flag_rate']:.0%}"
-    print(f"Segments processed: {s['total']}\nAvg confidence: {s['avg_confidence']:.2%}\nFlagged for review: {s['flagged']} ({rate})\nNo reference match: {s['no_ref']}")
+    print(SUMMARY.format(**s.asDict(), rate=rate))
 
 
 def fix(spark: SparkSession, args: argparse.Namespace) -> None:
-    if not args.replies and not (args.url and (args.api_key or os.environ.get(KEY))):
+    if not args.replies and not (args.url and api_key(args)):
         sys.exit("Error: recorded replies, or an address and an API key, are needed")
     rows = pipelines.prepared(cues(spark, args.input), cues(spark, args.reference), args.ref_count, noise=args.noise)
     out = pipelines.fixed(rows, replies(spark, args, pipelines.fix_requests(rows), args.delay)).cache()
@@ -115,17 +132,18 @@ def compare(spark: SparkSession, args: argparse.Namespace) -> None:
     one, two = (text_only(read_files(spark, p)).select(F.lit(p).alias(f"file{k}"), F.col("text").alias(f"text{k}"), F.lit(1).alias("one")) for k, p in enumerate(args.files, 1))
     r = pipelines.compare(one.join(two, "one")).first()
     for k in (1, 2):
-        print(f"File {k}: {r[f'file{k}']} ({r[f'len{k}']} chars)")
-    print(f"Normalized Levenshtein distance: {r['distance']:.4f}\nSimilarity: {r['similarity']:.4f} ({r['similarity'] * 100:.1f}%)")
+        print(SCORED_FILE.format(k=k, name=r[f"file{k}"], size=r[f"len{k}"]))
+    print(SCORE.format(distance=r["distance"], similarity=r["similarity"], percent=r["similarity"] * 100))
 
 
 def transcribe(spark: SparkSession, args: argparse.Namespace) -> None:
     if not Path(args.video).exists():
         sys.exit(f"Error: file not found: {args.video}")
     media = spark.createDataFrame([(ONE, args.video)], "file_id string, media string")
+    began = time.monotonic()
     out = Path(args.output or media.select(pipelines.output_path("media")).first()[0])
     out.write_text(content(pipelines.transcribed(segments(media, made(args.provider), args.model))), encoding="utf-8")
-    print(f"Saved SRT to: {out}")
+    print(f"{out} written in {time.monotonic() - began:.1f} s")
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:

@@ -11,7 +11,7 @@ from ..operators.alignment import align_subs
 from ..operators.context import with_context
 from ..operators.filters import clean_refs
 from ..operators.intervals import align_overlap, with_nearest
-from ..operators.phonetic import SYLLABLES, syllable_map
+from ..operators.phonetic import SYLLABLES, Readings, syllable_map
 from ..operators.prompts import evidence_prompt, fix_prompt, hint, messages
 from ..operators.quality import with_flags
 from ..operators.replies import apply_fixes, parse_correction, parse_fixes
@@ -73,21 +73,22 @@ def fix_requests(rows: DataFrame, system: str = FIX_SYSTEM) -> DataFrame:
     return rows.select(*KEYS, messages(system, fix_prompt("text", "context", "refs")).alias("messages"))
 
 
-def fixed(rows: DataFrame, replies: DataFrame, syllables: dict[str, str] | None = None) -> DataFrame:
+def fixed(rows: DataFrame, replies: DataFrame, syllables: dict[str, str] | Readings | None = None) -> DataFrame:
     """rows (text, refs) with new: model fixes that sound right, then substitutions by alignment, then pairs.
 
-    A reply with an error, or a fix that is no text, leaves the cue as it was; a reply that can't be read is no fix.
+    A reply with an error, or a fix that is no text, leaves the cue as it was; a reply that can't be read is no fix. syllables: a
+    small dictionary, a constant of the plan, or Readings of any size with phrases.
     """
     table = SYLLABLES if syllables is None else syllables
     got = rows.join(replies.select(*KEYS, "raw", "error"), KEYS, "left")
-    got = got.withColumn("_fixes", parse_fixes("raw")).withColumn("_fixed", apply_fixes("text", "_fixes", syllable_map(table))).withColumn("_refs", joined_texts("refs"))
+    got = got.withColumn("_fixes", parse_fixes("raw")).withColumn("_fixed", apply_fixes("text", "_fixes", table if isinstance(table, Readings) else syllable_map(table))).withColumn("_refs", joined_texts("refs"))
     got = got.withColumn("_subs", align_subs(F.col("_fixed.text"), "_refs", table))
     new = normalise_pairs(apply_substitutions(F.col("_fixed.text"), "_subs"), "_refs")
     new = F.when(F.col("error").isNotNull() | F.col("_fixed.failed"), F.col("text")).otherwise(new)
     return got.withColumn("new", new).withColumn("changed", ~F.col("text").eqNullSafe(F.col("new"))).drop("raw", "_fixes", "_fixed", "_refs", "_subs")
 
 
-def fix(noisy: DataFrame, refs: DataFrame, replies: DataFrame, n: int = 5, window_ms: int = 5000, syllables: dict[str, str] | None = None, **rules) -> DataFrame:
+def fix(noisy: DataFrame, refs: DataFrame, replies: DataFrame, n: int = 5, window_ms: int = 5000, syllables: dict[str, str] | Readings | None = None, **rules) -> DataFrame:
     return fixed(prepared(noisy, refs, n, window_ms, **rules), replies, syllables)
 
 

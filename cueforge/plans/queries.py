@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -13,15 +13,16 @@ from ..functions.times import parsed_time, srt_time, srt_time_of_seconds
 from ..operators.alignment import align_subs
 from ..operators.context import with_context
 from ..operators.filters import clean_refs
-from ..operators.intervals import align_overlap, nearest_refs, overlap_ms, pairs
-from ..operators.phonetic import FINAL_GROUPS, INITIAL_GROUPS, final, initial, is_homophone, similar_syllables
+from ..operators.intervals import align_overlap, first_later, nearest_refs, overlap_ms, pairs
+from ..operators.phonetic import FINAL_GROUPS, INITIAL_GROUPS, SYLLABLES, Readings, final, initial, is_homophone, phrase_syllables, similar_syllables
 from ..operators.prompts import evidence_prompt, fix_prompt, hint
-from ..operators.quality import change_summary, flag_kind, run_summary
-from ..operators.replies import apply_fixes, parse_correction, parse_fixes
-from ..sources.sinks import flag_report, render_numbered, render_original_index
+from ..operators.providers import ClipTranscriber, segments, with_clips, with_replies
+from ..operators.quality import change_summary, flag_kind, run_summary, with_flags
+from ..operators.replies import apply_fixes, parse_correction, parse_fixes, rejected_fixes
+from ..sources.sinks import changes, flag_report, json_lines, render_numbered, render_original_index
 from ..sources.srt import parse_cues, text_only
 from . import pipelines
-from .tables import EVENT_TIMES, TRACKS, event_cues, event_times, table
+from .tables import EVENT_TIMES, SETS, TRACKS, event_cues, event_times, letter, letter_sql, spoken, spoken_cues, spoken_sql, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -64,6 +65,21 @@ def align_overlap_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_overlap(cues, refs, strict_order=True).select("file_id", F.col("ordinal").cast("long"), "ref")
 
 
+@query(f"""{TRACKS}, mixed AS (SELECT * REPLACE (row_number() OVER (PARTITION BY file_id ORDER BY event_id * 7919 % 1009, event_id) AS ordinal) FROM refs),
+ long AS (SELECT * REPLACE (end_ms + 40000 AS end_ms) FROM cues),
+ stops AS (SELECT c.file_id, c.ordinal, min(x.ordinal) AS stop FROM long c JOIN mixed x ON x.file_id = c.file_id AND x.start_ms > c.end_ms GROUP BY ALL)
+SELECT c.file_id, c.ordinal, coalesce(string_agg(r.text, ' ' ORDER BY r.ordinal), '') AS ref, max(s.stop) AS stop
+FROM long c LEFT JOIN stops s ON c.file_id = s.file_id AND c.ordinal = s.ordinal
+ LEFT JOIN mixed r ON c.file_id = r.file_id AND {OVERLAP} > 0 AND r.ordinal < coalesce(s.stop, 9223372036854775807) GROUP BY ALL""")
+def align_overlap_unsorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Longer cues against references out of order, where the scan's stop cuts: texts before it, and its place."""
+    cues, refs = tracks(spark, sf_dir)
+    cues = cues.withColumn("end_ms", F.col("end_ms") + 40_000)
+    refs = refs.withColumn("ordinal", F.row_number().over(W.partitionBy("file_id").orderBy(F.col("event_id") * 7919 % 1009, "event_id")))
+    out = align_overlap(cues, refs, strict_order=True).join(first_later(cues, refs), ["file_id", "ordinal"], "left")
+    return out.select("file_id", F.col("ordinal").cast("long"), "ref", F.col("stop").cast("long"))
+
+
 @query(f"""{TRACKS}
 SELECT c.file_id, c.ordinal, r.ordinal AS r_ordinal, greatest(0, {OVERLAP}) AS overlap
 FROM cues c JOIN refs r ON c.file_id = r.file_id WHERE {OVERLAP} > 0""")
@@ -128,23 +144,24 @@ def parse_srt_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line.select("event_id", parsed_time("line", 1).alias("start_ms"), parsed_time("line", 5).alias("end_ms"))
 
 
-#: A file with all that a scan has to cope with.
-ODD_FILE = (
-    "﻿1\r\n00:00:01,000 --> 00:00:02,500\r\nFirst line\r\nsecond line\r\n\r\n"
-    "+2\n00:00:03.000-->00:00:04.000 position:10%\n<i> lean</i> text\n\n\n"
-    "3\n 00:00:05,000 --> 00:00:06,000\nindented time line\n\n"
-    "4\n00:00:07,000 --> 00:00:08,000\n\n"
-    "five\n00:00:09,000 --> 00:00:10,000\nno number\n\n"
-    "6\n00:00:11,000 --> 00:00:12,000\n<b></b>\n\n"
-    "1_0\n01:00:00,007 --> 00:59:59,000\n1984\n"
-)
-
-
-@query("""
-SELECT 'odd' AS file_id, * FROM (VALUES (1::INT, 1::BIGINT, 1000::BIGINT, 2500::BIGINT, 'First line second line'), (2, 2, 3000, 4000, ' lean text'),
- (3, 6, 11000, 12000, ''), (4, 10, 3600007, 3599000, '1984')) t(ordinal, index, start_ms, end_ms, text)""")
+@query(f"""{TRACKS}
+SELECT file_id, CAST(row_number() OVER (PARTITION BY file_id ORDER BY ordinal) AS INT) AS ordinal, event_id AS index, start_ms, end_ms,
+ CASE event_id % 6 WHEN 1 THEN text || ' second line' WHEN 5 THEN ' ' || text || ' tail' ELSE text END AS text FROM cues WHERE event_id % 6 NOT IN (2, 4)""")
 def srt_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_cues(spark.createDataFrame([("odd", ODD_FILE)], "file_id string, value string"))
+    """Files with all that a scan has to cope with: other line ends, marks, tags, blocks without a number or a text."""
+    number, text = F.col("event_id").cast("string"), F.col("text")
+    time = lambda arrow: F.concat(srt_time("start_ms"), F.lit(arrow), srt_time("end_ms"))
+    block = (
+        F.when(F.col("event_id") % 6 == 1, F.concat(number, F.lit("\r\n"), time(" --> "), F.lit("\r\n"), text, F.lit("\r\nsecond line\r\n\r\n")))
+        .when(F.col("event_id") % 6 == 2, F.concat(F.lit("no number\n"), time(" --> "), F.lit("\n"), text, F.lit("\n\n")))
+        .when(F.col("event_id") % 6 == 3, F.concat(F.lit("+"), number, F.lit("\n"), F.regexp_replace(time("-->"), ",", "."), F.lit(" align:start\n"), text, F.lit("\n\n\n")))
+        .when(F.col("event_id") % 6 == 4, F.concat(number, F.lit("\n"), time(" --> "), F.lit("\n\n")))
+        .when(F.col("event_id") % 6 == 5, F.concat(number, F.lit("\n"), time(" --> "), F.lit("\n<i> "), text, F.lit("</i> tail\n\n")))
+        .otherwise(F.concat(number, F.lit("\n"), time(" --> "), F.lit("\n"), text, F.lit("\n\n")))
+    )
+    blocks = F.array_sort(F.collect_list(F.struct("ordinal", block.alias("block"))))
+    files = event_cues(spark, sf_dir, "view").groupBy("file_id").agg(F.concat(F.lit("\ufeff"), F.array_join(F.transform(blocks, lambda x: x["block"]), "")).alias("value"))
+    return parse_cues(files)
 
 
 @query(f"""{TRACKS}
@@ -197,8 +214,9 @@ def levenshtein_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each turn against the next. Characters beyond ASCII count as one, as SQL here has a distance of bytes only."""
     c = table(spark, sf_dir, "conversations").withColumn("text", F.regexp_replace("text", r"[^\x00-\x7F]", "?"))
     both = c.select("conv_id", "turn", F.col("text").alias("t1")).join(c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("t2")), ["conv_id", "turn"])
-    d = normalized_levenshtein("t1", "t2")
-    return both.select("conv_id", "turn", F.length("t1").alias("len1"), F.length("t2").alias("len2"), d.alias("distance"), (F.lit(1.0) - d).alias("similarity"))
+    # a distance takes time by the product of the lengths: few bytes, much work, so pairs are dealt out by number
+    both = both.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "conv_id", "turn")
+    return both.select("conv_id", "turn", F.length("t1").alias("len1"), F.length("t2").alias("len2"), normalized_levenshtein("t1", "t2").alias("distance")).withColumn("similarity", F.lit(1.0) - F.col("distance"))
 
 
 @query("""
@@ -306,13 +324,42 @@ def syllable_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("a", "b", similar_syllables("a", "b").alias("similar"))
 
 
-HOMOPHONES = [("過重", "國中", True), ("文化機", "文化祭", True), ("離隊", "裡蹲", True), ("登上", "等上", True), ("反碎", "粉碎", True), ("登上", "他上", False), ("他", "它", True), ("他", "他", False), ("他們", "它", False), ("的ab", "得ab", True), ("新山", "星身", True), ("玲", "林", True)]
+_READ = "reading AS (SELECT * FROM (VALUES " + ", ".join(f"('{c}', '{SYLLABLES[c]}')" for own in SETS for c in own) + ") t(c, py))"
+#: Pairs of unlike characters that sound alike.
+_ALIKE = f"""{_READ}, syllable AS (SELECT c, py, {_SPLIT_SQL.format('py', 1)} AS i, {_SPLIT_SQL.format('py', 2)} AS f FROM reading),
+ alike AS (SELECT a.c AS a, b.c AS b FROM syllable a CROSS JOIN syllable b WHERE a.c <> b.c AND (a.py = b.py OR (a.i = b.i AND (a.f = b.f OR {_group_sql(FINAL_GROUPS, 'a.f', 'b.f')}))
+  OR (a.f = b.f AND CASE WHEN a.i <> '' AND b.i <> '' THEN a.i = b.i OR {_group_sql(INITIAL_GROUPS, 'a.i', 'b.i')} ELSE a.i = b.i END)))"""
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}', {str(c).lower()})" for a, b, c in HOMOPHONES) + ") t(wrong, correct, ok)")
+def _sounds(a: str, b: str) -> str:
+    return f"({a}, {b}) IN (SELECT a, b FROM alike)"
+
+
+def _same_or_sounds(a: str, b: str) -> str:
+    return f"({a} = {b} OR {_sounds(a, b)})"
+
+
+@query(f"""WITH {_ALIKE}, p AS (SELECT event_id, {letter_sql('event_id', 0)} AS w1, {letter_sql('event_id', 1)} AS w2, {letter_sql('(event_id // 5)', 0)} AS c1, {letter_sql('(event_id // 3)', 1)} AS c2 FROM events)
+SELECT event_id, w1 || w2 AS wrong, CASE WHEN event_id % 9 = 0 THEN c1 ELSE c1 || c2 END AS correct,
+ event_id % 9 <> 0 AND w1 || w2 <> c1 || c2 AND {_same_or_sounds('w1', 'c1')} AND {_same_or_sounds('w2', 'c2')} AS ok FROM p""")
 def homophone_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(a, b) for a, b, _ in HOMOPHONES], "wrong string, correct string")
-    return rows.select("wrong", "correct", is_homophone("wrong", "correct").alias("ok"))
+    """Two characters of every event against two others, some of them one short."""
+    n = F.col("event_id")
+    first, second = letter(F.floor(n / 5), 0), letter(F.floor(n / 3), 1)
+    rows = table(spark, sf_dir, "events").select("event_id", F.concat(letter(n, 0), letter(n, 1)).alias("wrong"), F.when(n % 9 == 0, first).otherwise(F.concat(first, second)).alias("correct"))
+    return rows.withColumn("ok", is_homophone("wrong", "correct"))
+
+
+@query(f"""WITH p AS (SELECT event_id, {letter_sql('event_id', 0)} AS a, {letter_sql('event_id', 1)} AS b FROM events)
+SELECT event_id, CASE WHEN event_id % 3 = 0 THEN a || b WHEN event_id % 3 = 1 THEN b || 'x' || a || ' ' || a ELSE '' END AS text,
+ CASE WHEN event_id % 3 = 0 THEN CASE WHEN a || b = '他在' THEN 'qiu cai' ELSE (SELECT py FROM (VALUES {", ".join(f"('{c}', '{SYLLABLES[c]}')" for c in SETS[0])}) t(c, py) WHERE c = a) || ' ' || (SELECT py FROM (VALUES {", ".join(f"('{c}', '{SYLLABLES[c]}')" for c in SETS[1])}) t(c, py) WHERE c = b) END
+  WHEN event_id % 3 = 1 THEN (SELECT py FROM (VALUES {", ".join(f"('{c}', '{SYLLABLES[c]}')" for c in SETS[1])}) t(c, py) WHERE c = b) || ' x ' || (SELECT py FROM (VALUES {", ".join(f"('{c}', '{SYLLABLES[c]}')" for c in SETS[0])}) t(c, py) WHERE c = a) || '   ' || (SELECT py FROM (VALUES {", ".join(f"('{c}', '{SYLLABLES[c]}')" for c in SETS[0])}) t(c, py) WHERE c = a) ELSE '' END AS reading FROM p""")
+def phrase_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings of texts by a table with a phrase, which reads unlike its characters."""
+    n = F.col("event_id")
+    a, b = letter(n, 0), letter(n, 1)
+    rows = table(spark, sf_dir, "events").select("event_id", F.when(n % 3 == 0, F.concat(a, b)).when(n % 3 == 1, F.concat(b, F.lit("x"), a, F.lit(" "), a)).otherwise("").alias("text"))
+    return rows.withColumn("reading", F.array_join(phrase_syllables("text", Readings(SYLLABLES | {"他在": "qiu cai"})), " "))
 
 
 @query("SELECT conv_id, turn, regexp_replace(text, '^[ \t\r\n]+|[ \t\r\n]+$', '', 'g') AS reply FROM conversations")
@@ -326,51 +373,97 @@ def strip_reasoning(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", without_reasoning(F.concat(F.lit("<think>a\nb</think> "), "text", F.lit("<think></think>"))).alias("reply"))
 
 
-CORRECTIONS = [
-    ("object", '```json\n{"corrected": "好", "confidence": 0.9}\n```', "好", 0.9, False, ""), ("low", '{"corrected": "好", "confidence": 0.5}', "好", 0.5, True, "Low confidence (0.50)"),
-    ("notes", '{"corrected": "好", "confidence": 0.7499, "notes": "unsure"}', "好", 0.7499, True, "unsure"), ("edge", '{"corrected": "好", "confidence": 0.75}', "好", 0.75, False, ""),
-    ("default", '{"corrected": "好"}', "好", 1.0, False, ""), ("string", '{"corrected": "好", "confidence": "0.8"}', "好", 0.8, False, ""), ("no key", '{"confidence": 1}', "noisy", 1.0, False, ""),
-    ("text", "plain reply", "plain reply", 0.7, False, ""), ("empty", "  ", "noisy", 0.7, False, ""), ("trailing", '{"corrected": "好"} and more', '{"corrected": "好"} and more', 0.7, False, ""),
-]
+_CASE = "(conv_id + turn) % 6"
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{k}', '{c}', {v}::DOUBLE, {str(f).lower()}, '{r}')" for k, _, c, v, f, r in CORRECTIONS) + ") t(id, corrected, confidence, flagged, flag_reason)")
+@query(f"""
+WITH p AS (SELECT *, {_CASE} AS k, CAST(conv_id % 100 AS DOUBLE) / 100 AS v FROM conversations WHERE text <> '')
+SELECT conv_id, turn, CASE k WHEN 3 THEN role WHEN 4 THEN 'plain ' || role WHEN 5 THEN '{{"corrected":"x"}} and more' ELSE text END AS corrected,
+ CASE k WHEN 0 THEN 0.9 WHEN 1 THEN v WHEN 2 THEN v WHEN 3 THEN 1.0 ELSE 0.7 END::DOUBLE AS confidence, k IN (1, 2) AND v < 0.75 AS flagged,
+ CASE WHEN k = 1 AND v < 0.75 THEN 'Low confidence (' || printf('%.2f', v) || ')' WHEN k = 2 AND v < 0.75 THEN 'unsure' ELSE '' END AS flag_reason FROM p""")
 def parse_correction_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(k, raw) for k, raw, *_ in CORRECTIONS], "id string, raw string")
-    return rows.select("id", parse_correction("raw", F.lit("noisy")).alias("p")).select("id", "p.*")
+    """Replies made of every turn: objects with and without notes or a text, plain text, and text after an object."""
+    k, v = (F.col("conv_id") + F.col("turn")) % 6, (F.col("conv_id") % 100).cast("double") / 100
+    one = lambda **own: F.to_json(F.struct(*[c.alias(n) for n, c in own.items()]))
+    text = F.col("text")
+    raw = (
+        F.when(k == 0, F.concat(F.lit("```json\n"), one(corrected=text, confidence=F.lit(0.9)), F.lit("\n```"))).when(k == 1, one(corrected=text, confidence=v.cast("string")))
+        .when(k == 2, one(corrected=text, confidence=v, notes=F.lit("unsure"))).when(k == 3, F.lit('{"confidence": 1}')).when(k == 4, F.concat(F.lit("  plain "), F.col("role"))).otherwise('{"corrected":"x"} and more')
+    )
+    rows = table(spark, sf_dir, "conversations").filter("text <> ''").select("conv_id", "turn", "role", raw.alias("raw"))
+    return rows.select("conv_id", "turn", parse_correction("raw", F.col("role")).alias("p")).select("conv_id", "turn", "p.*")
 
 
-FIX_LISTS = [("list", '[{"wrong": "a", "correct": "b"}]', "a>b"), ("fenced", '<think>x</think>```json\n[{"wrong": "a", "correct": "b"}, 5, {"wrong": "", "correct": "c"}]\n```', "a>b"), ("object", '{"wrong": "a", "correct": "b"}', ""), ("text", "none", ""), ("two", '[{"wrong": "a", "correct": "b"}, {"wrong": "c", "correct": "d"}]', "a>b,c>d")]
-
-
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{k}', '{w}')" for k, _, w in FIX_LISTS) + ") t(id, fixes)")
+@query("""
+SELECT conv_id, turn, CASE turn % 5 WHEN 0 THEN role || '>' || text WHEN 1 THEN role || '>b' WHEN 4 THEN role || '>b,' || text || '>' || role ELSE '' END AS fixes FROM conversations WHERE text <> ''""")
 def parse_fix_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(k, raw) for k, raw, _ in FIX_LISTS], "id string, raw string")
-    return rows.select("id", F.array_join(F.transform(parse_fixes("raw"), lambda f: F.concat_ws(">", f["wrong"], f["correct"])), ",").alias("fixes"))
-
-
-APPLIED = [("他他是", '[{"wrong": "他", "correct": "它"}]', "它他是", False), ("過重", '[{"wrong": "過重", "correct": "國中"}, {"wrong": "國", "correct": "過"}]', "過中", False), ("他", '[{"wrong": "山", "correct": "身"}]', "他", False), ("他", '[{"wrong": "他", "correct": "它們"}]', "他", False), ("他", '[{"wrong": 5, "correct": "它"}]', "他", True)]
+    """Replies made of every turn: lists, fenced ones with reasoning and other members, an object, plain text."""
+    fix = lambda w, c: F.struct(w.alias("wrong"), c.alias("correct"))
+    role, text, turn = F.col("role"), F.col("text"), F.col("turn") % 5
+    raw = (
+        F.when(turn == 0, F.to_json(F.array(fix(role, text))))
+        .when(turn == 1, F.concat(F.lit("<think>[1]</think>```json\n[5, "), F.to_json(fix(role, F.lit("b"))), F.lit(', {"wrong": "", "correct": "c"}]\n```')))
+        .when(turn == 2, F.to_json(fix(role, text))).when(turn == 3, text).otherwise(F.to_json(F.array(fix(role, F.lit("b")), fix(text, role))))
+    )
+    rows = table(spark, sf_dir, "conversations").filter("text <> ''").select("conv_id", "turn", raw.alias("raw"))
+    return rows.select("conv_id", "turn", F.array_join(F.transform(parse_fixes("raw"), lambda f: F.concat_ws(">", f["wrong"], f["correct"])), ",").alias("fixes"))
+
+
+#: Two fixes of a cue: of its first character, and of the two after it.
+_FIX = f"""SELECT *, {", ".join(f"{letter_sql('event_id', k)} AS t{k}" for k in range(5))}, {letter_sql('(event_id // 7)', 0)} AS x0, {letter_sql('(event_id // 5)', 1)} AS x1, {letter_sql('(event_id // 9)', 2)} AS x2"""
+_FOLD = f"""CASE WHEN event_id % 3 = 0 AND {_sounds('t0', 'x0')} THEN x0 ELSE t0 END AS f0,
+  event_id % 3 = 0 AND t1 || t2 <> x1 || x2 AND {_same_or_sounds('t1', 'x1')} AND {_same_or_sounds('t2', 'x2')} AS second"""
+
+
+def _fix_reply() -> Column:
+    n = F.col("event_id")
+    fix = lambda w, c: F.struct(w.alias("wrong"), c.alias("correct"))
+    first = fix(letter(n, 0), letter(F.floor(n / 7), 0))
+    second = fix(F.concat(letter(n, 1), letter(n, 2)), F.concat(letter(F.floor(n / 5), 1), letter(F.floor(n / 9), 2)))
+    return F.when(n % 3 == 0, F.to_json(F.array(first, second))).when(n % 3 == 1, "none").otherwise("[]")
+
+
+@query(f"""{TRACKS}, {_ALIKE}, b AS ({_FIX} FROM cues), f AS (SELECT *, {_FOLD} FROM b)
+SELECT event_id, CASE WHEN event_id % 4 = 1 THEN t0 ELSE f0 END || CASE WHEN second AND event_id % 4 <> 1 THEN x1 || x2 ELSE t1 || t2 END || t3 || t4 AS text, event_id % 4 = 1 AS failed FROM f""")
+def apply_fixes_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two fixes of every spoken view cue in turn; a value that is no text fails the cue."""
+    bad = F.lit('[{"wrong": 5, "correct": "它"}]')
+    rows = spoken_cues(spark, sf_dir, "view").select("event_id", "text", F.when(F.col("event_id") % 4 == 1, bad).otherwise(_fix_reply()).alias("raw"))
+    return rows.select("event_id", apply_fixes("text", parse_fixes("raw")).alias("f")).select("event_id", "f.*")
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"({k}::INT, '{t}', {str(f).lower()})" for k, (_, _, t, f) in enumerate(APPLIED)) + ") t(id, text, failed)")
-def apply_fixes_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(k, t, raw) for k, (t, raw, *_) in enumerate(APPLIED)], "id int, text string, raw string")
-    return rows.select("id", apply_fixes("text", parse_fixes("raw")).alias("f")).select("id", "f.*")
+@query(f"""{TRACKS}, {_ALIKE}, b AS ({_FIX} FROM cues WHERE event_id % 3 = 0)
+SELECT event_id, t0 AS wrong, x0 AS correct FROM b WHERE NOT {_sounds('t0', 'x0')}
+UNION ALL SELECT event_id, t1 || t2, x1 || x2 FROM b WHERE t1 || t2 = x1 || x2 OR NOT ({_same_or_sounds('t1', 'x1')} AND {_same_or_sounds('t2', 'x2')})""")
+def rejected_fix_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixes of spoken view cues that don't sound like what they replace."""
+    rows = spoken_cues(spark, sf_dir, "view").select("event_id", "text", _fix_reply().alias("raw"))
+    return rows.select("event_id", F.explode(rejected_fixes("text", parse_fixes("raw"))).alias("f")).select("event_id", "f.wrong", "f.correct")
 
 
-@query("SELECT * FROM (VALUES ('他在他', '它', '它在它'), ('它', '他', '他'), ('他', '他它', '他'), ('她', '它', '她')) t(text, ref, fixed)")
+@query(f"""SELECT event_id, {spoken_sql('event_id')} || {letter_sql('event_id', 0)} AS text, {spoken_sql('(event_id // 3)')} AS ref,
+ CASE WHEN {letter_sql('event_id', 0)} = '他' AND {letter_sql('(event_id // 3)', 0)} = '它' THEN replace({spoken_sql('event_id')} || {letter_sql('event_id', 0)}, '他', '它')
+  WHEN {letter_sql('event_id', 0)} = '它' AND {letter_sql('(event_id // 3)', 0)} = '他' THEN replace({spoken_sql('event_id')} || {letter_sql('event_id', 0)}, '它', '他') ELSE {spoken_sql('event_id')} || {letter_sql('event_id', 0)} END AS fixed FROM events""")
 def normalise_pairs_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([("他在他", "它"), ("它", "他"), ("他", "他它"), ("她", "它")], "text string, ref string")
-    return rows.select("text", "ref", normalise_pairs("text", "ref").alias("fixed"))
+    n = F.col("event_id")
+    rows = table(spark, sf_dir, "events").select("event_id", F.concat(spoken(n), letter(n, 0)).alias("text"), spoken(F.floor(n / 3)).alias("ref"))
+    return rows.withColumn("fixed", normalise_pairs("text", "ref"))
 
 
-ALIGNED = [("過重時代", "國中時代", "重>中,過>國", "國中時代"), ("他在 那裡", "它在，那裡", "他>它", "它在 那裡"), ("abcdef", "uvwxyz", "", "abcdef"), ("", "它", "", ""), ("新心新", "星心新", "新>星", "星心新")]
+_PLACES = range(5)
+#: No two places share a character, so a least-cost alignment goes place by place.
+_ENOUGH = "(" + " + ".join(f"CAST(t{k} = r{k} AS INT)" for k in _PLACES) + ") >= 2"
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{t}', '{s}', '{x}')" for t, _, s, x in ALIGNED) + ") t(text, subs, fixed)")
+@query(f"""{TRACKS}, {_ALIKE}, p AS (SELECT c.file_id, c.ordinal, {", ".join(f"{letter_sql('c.event_id', k)} AS t{k}, {letter_sql('r.event_id', k)} AS r{k}" for k in _PLACES)} FROM cues c JOIN refs r ON c.file_id = r.file_id AND c.ordinal = r.ordinal)
+SELECT file_id, ordinal, concat_ws(',', {", ".join(f"CASE WHEN {_ENOUGH} AND {_sounds(f't{k}', f'r{k}')} THEN t{k} || '>' || r{k} END" for k in reversed(_PLACES))}) AS subs,
+ {" || ".join(f"CASE WHEN {_ENOUGH} AND {_sounds(f't{k}', f'r{k}')} THEN r{k} ELSE t{k} END" for k in _PLACES)} AS fixed FROM p""")
 def align_char_subs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(t, r) for t, r, *_ in ALIGNED], "text string, refs string").withColumn("s", align_subs("text", "refs"))
-    return rows.select("text", F.array_join(F.transform("s", lambda f: F.concat_ws(">", f["wrong"], f["correct"])), ",").alias("subs"), apply_substitutions("text", "s").alias("fixed"))
+    """Every spoken view cue aligned with the click cue of its number, spaces and marks between the characters left out."""
+    marked = F.regexp_replace("text", "(?<=.)(?=.)", "，")
+    refs = spoken_cues(spark, sf_dir, "click").select("file_id", "ordinal", marked.alias("refs"))
+    rows = spoken_cues(spark, sf_dir, "view").select("file_id", "ordinal", "text").join(refs, ["file_id", "ordinal"]).withColumn("s", align_subs("text", "refs"))
+    return rows.select("file_id", F.col("ordinal").cast("long"), F.array_join(F.transform("s", lambda f: F.concat_ws(">", f["wrong"], f["correct"])), ",").alias("subs"), apply_substitutions("text", "s").alias("fixed"))
 
 
 def _recorded(cues: DataFrame, raw) -> DataFrame:
@@ -390,18 +483,22 @@ def pipeline_correct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("file_id", F.col("ordinal").cast("long"), "ref", "corrected", "confidence", "flagged")
 
 
-FIX_CUES = [(1, 0, 1000, "他說過重"), (2, 15000, 16000, "文化機"), (3, 9000, 9500, "他在"), (4, 30000, 31000, "失敗他")]
-FIX_REFS = [(1, 0, 900, "它說國中"), (2, 14900, 16100, "文化祭"), (3, 8000, 8900, "它在!!!"), (4, 9600, 9900, "它在")]
-FIX_REPLIES = [(1, '[{"wrong": "過重", "correct": "國中"}]', None), (2, "no list", None), (3, "[]", None), (4, None, "timeout")]
-
-
-@query("SELECT 'f' AS file_id, * FROM (VALUES (1::INT, '他說過重', '它說國中', true), (2, '文化機', '文化祭', true), (3, '他在', '它在', true), (4, '失敗他', '失敗他', false)) t(ordinal, old, new, changed)")
+@query(f"""{TRACKS}, {_ALIKE}, scored AS (
+ SELECT c.file_id, c.ordinal, r.event_id AS r_id, r.ordinal AS r_ordinal, CASE WHEN {OVERLAP} > 0 THEN {OVERLAP} ELSE -{DISTANCE} END AS score
+ FROM cues c JOIN refs r ON c.file_id = r.file_id WHERE {OVERLAP} > 0 OR {DISTANCE} <= 5000),
+ placed AS (SELECT *, row_number() OVER (PARTITION BY file_id, ordinal ORDER BY score DESC, r_ordinal) AS place FROM scored),
+ b AS ({_FIX} FROM cues LEFT JOIN (SELECT file_id, ordinal, {", ".join(f"{letter_sql('r_id', k)} AS r{k}" for k in _PLACES)} FROM placed WHERE place = 1) USING (file_id, ordinal)),
+ f AS (SELECT *, {_FOLD} FROM b),
+ g AS (SELECT * REPLACE (f0 AS t0, CASE WHEN second THEN x1 ELSE t1 END AS t1, CASE WHEN second THEN x2 ELSE t2 END AS t2) FROM f),
+ h AS (SELECT * REPLACE ({", ".join(f"CASE WHEN r0 IS NOT NULL AND {_ENOUGH} AND {_sounds(f't{k}', f'r{k}')} THEN r{k} ELSE t{k} END AS t{k}" for k in _PLACES)}) FROM g),
+ i AS (SELECT file_id, ordinal, {spoken_sql('event_id')} AS old, CASE WHEN event_id % 11 = 0 THEN {spoken_sql('event_id')}
+  ELSE CASE WHEN t0 = '他' AND r0 = '它' THEN '它' WHEN t0 = '它' AND r0 = '他' THEN '他' ELSE t0 END || t1 || t2 || t3 || t4 END AS new FROM h)
+SELECT *, old <> new AS changed FROM i""")
 def pipeline_fix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """References, context, recorded fixes, alignment and pairs of a small track."""
-    cue = lambda rows: spark.createDataFrame([("f", k, k, s, e, t) for k, s, e, t in rows], "file_id string, ordinal int, index long, start_ms long, end_ms long, text string")
-    replies = spark.createDataFrame([("f", *r) for r in FIX_REPLIES], "file_id string, ordinal int, raw string, error string")
-    out = pipelines.fix(cue(FIX_CUES), cue(FIX_REFS), replies)
-    return out.select("file_id", "ordinal", F.col("text").alias("old"), "new", "changed")
+    """Nearest reference, recorded fixes and failures, alignment and pairs of every spoken view cue: the change log of each."""
+    cues, refs = spoken_cues(spark, sf_dir, "view"), spoken_cues(spark, sf_dir, "click")
+    out = pipelines.fix(cues, refs, _recorded(cues, _fix_reply()), n=1, noise=None)
+    return changes(out, "text", "new").withColumn("ordinal", F.col("ordinal").cast("long"))
 
 
 @query(f"""
@@ -421,9 +518,103 @@ def pipeline_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipelines.compare(first.join(files["click"].select("user", F.col("file_id").alias("file2"), F.col("text").alias("text2")), "user"))
 
 
-@query("SELECT file_id, string_agg(ordinal || chr(10) || t1 || ' --> ' || t2 || chr(10) || text || chr(10), chr(10) ORDER BY ordinal) AS content FROM (VALUES ('m', 1, '00:00:00,000', '00:00:04,349', '你好'), ('m', 2, '00:00:04,349', '01:01:01,500', 'b')) t(file_id, ordinal, t1, t2, text) GROUP BY file_id")
+_SECONDS = "lpad(CAST(CAST(floor({0} / 3600) AS BIGINT) AS VARCHAR), 2, '0') || ':' || lpad(CAST(CAST(floor(({0} % 3600) / 60) AS BIGINT) AS VARCHAR), 2, '0') || ':' || lpad(CAST(CAST(trunc({0} % 60) AS BIGINT) AS VARCHAR), 2, '0') || ',' || lpad(CAST(CAST(trunc(({0} % 1) * 1000) AS BIGINT) AS VARCHAR), 3, '0')"
+
+
+@query(f"""
+WITH p AS (SELECT 'u' || user_id AS file_id, event_type, value AS s, value + 1.5::DOUBLE AS e, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS ordinal FROM events)
+SELECT file_id, string_agg(ordinal || chr(10) || {_SECONDS.format('s')} || ' --> ' || {_SECONDS.format('e')} || chr(10) || event_type || chr(10), chr(10) ORDER BY ordinal) AS content FROM p GROUP BY file_id""")
 def pipeline_transcribe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pipelines.transcribed(spark.createDataFrame([("m", 1, 0.0, 4.35, " 你好 "), ("m", 2, 4.35, 3661.5, "b")], "file_id string, ordinal int, start double, end double, text string"))
+    """Every user's events as the segments of a medium."""
+    number = F.row_number().over(W.partitionBy("user_id").orderBy("event_id"))
+    rows = table(spark, sf_dir, "events").select(F.concat(F.lit("u"), "user_id").alias("file_id"), number.alias("ordinal"), F.col("value").alias("start"), (F.col("value") + 1.5).alias("end"), F.concat(F.lit(" "), "event_type", F.lit(" ")).alias("text"))
+    return pipelines.transcribed(rows)
+
+
+@query(f"""{TRACKS}, a AS (SELECT c.file_id, c.ordinal, c.event_id, c.text, coalesce(string_agg(r.text, ' ' ORDER BY r.ordinal), '') AS ref FROM cues c LEFT JOIN refs r ON c.file_id = r.file_id AND {OVERLAP} > 0 GROUP BY ALL)
+SELECT file_id, ordinal, ref, CASE WHEN event_id % 3 = 0 THEN 'heard ' || event_id ELSE text END AS whisper, text AS missing_second, '' AS missing_model, CASE WHEN event_id % 3 = 0 THEN 'heard ' || event_id ELSE text END AS corrected FROM a""")
+def default_whisper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stands for the second transcription with one for some cues, with none, and without its model; and the corrected text without a chat model."""
+    cues, refs = tracks(spark, sf_dir)
+    rows = pipelines.aligned(cues, refs)
+    second = cues.filter("event_id % 3 = 0").select("file_id", "ordinal", F.concat(F.lit("heard "), "event_id").alias("whisper"))
+    both = pipelines.corrected(pipelines.heard(rows, second), skip=True).select("file_id", "ordinal", "ref", "whisper", "corrected")
+    none = pipelines.heard(rows).select("file_id", "ordinal", F.col("whisper").alias("missing_second"))
+    absent = pipelines.heard(rows, missing_model=True).select("file_id", "ordinal", F.col("whisper").alias("missing_model"))
+    return both.join(none, ["file_id", "ordinal"]).join(absent, ["file_id", "ordinal"]).withColumn("ordinal", F.col("ordinal").cast("long"))
+
+
+@query(f"""
+WITH x AS (SELECT *, CASE WHEN corrected <> '' THEN corrected ELSE noisy END AS t FROM {_ASKED}), k AS (SELECT *, {_KIND} AS kind FROM x)
+SELECT conv_id, turn, kind IS NOT NULL OR turn % 4 = 0 AS flagged, CASE kind WHEN 'empty' THEN 'Empty corrected text'
+ WHEN 'latin' THEN 'Unexpected latin text: [' || chr(39) || array_to_string(regexp_extract_all(t, '[a-zA-Z]{{3,}}'), chr(39) || ', ' || chr(39)) || chr(39) || ']'
+ WHEN 'ratio' THEN 'Length ratio suspicious (' || printf('%.1f', length(t)::DOUBLE / greatest(length(noisy), 1)) || 'x)' ELSE 'before' END AS flag_reason FROM k""")
+def flag_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flags and the wording of their reasons; one set before stays unless a rule takes its place."""
+    rows = _asked(spark, sf_dir).withColumns({"flagged": F.col("turn") % 4 == 0, "flag_reason": F.lit("before")})
+    return with_flags(rows).select("conv_id", "turn", "flagged", "flag_reason")
+
+
+@query(f"""{TRACKS}, a AS (SELECT c.file_id, c.ordinal, c.event_id, c.start_ms, c.end_ms, c.text, coalesce(string_agg(r.text, ' ' ORDER BY r.ordinal), '') AS ref FROM cues c LEFT JOIN refs r ON c.file_id = r.file_id AND {OVERLAP} > 0 GROUP BY ALL)
+SELECT '{{"file_id":"' || file_id || '","ordinal":' || ordinal || ',"index":' || event_id || ',"start_ms":' || start_ms || ',"end_ms":' || end_ms || ',"noisy":"' || text || '","ref":"' || ref
+ || '","whisper":"' || text || '","corrected":"","confidence":1.0,"flagged":false,"flag_reason":""}}' AS line FROM a""")
+def intermediate_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aligned cues before correction, as the JSON lines that are kept between the steps."""
+    return json_lines(pipelines.heard(pipelines.aligned(*tracks(spark, sf_dir))))
+
+
+class _Written:
+    """Providers by rule, without a model: what they are given comes back."""
+
+    def complete(self, messages: list[dict]) -> str:
+        text = messages[1]["content"]
+        if len(text) % 5 == 0:
+            raise RuntimeError("down")
+        return f"{messages[0]['role']}/{messages[1]['role']}: {text}"
+
+
+def _written_clip(path: str, start_ms: int, end_ms: int, out: str) -> None:
+    with open(out, "w", encoding="utf-8") as f:
+        f.write(f"{path} {start_ms}-{end_ms}")
+
+
+def _heard_clip(wav: str, hint: str) -> str:
+    with open(wav, encoding="utf-8") as f:
+        clip = f.read()
+    if clip.endswith("7"):
+        raise RuntimeError("no model")
+    return f" {clip}: {hint}\n"
+
+
+@query(f"""{TRACKS}, a AS (SELECT c.file_id, c.ordinal, c.start_ms, c.end_ms, c.text, coalesce(string_agg(r.text, ' ' ORDER BY r.ordinal), '') AS ref FROM cues c LEFT JOIN refs r ON c.file_id = r.file_id AND {OVERLAP} > 0 GROUP BY ALL)
+SELECT file_id, ordinal, CASE WHEN end_ms % 10 = 7 THEN text ELSE 'm' || file_id || '.mp4 ' || start_ms || '-' || end_ms || ': ' || substring(CASE WHEN ref <> '' THEN ref ELSE text END, 1, 224) END AS whisper FROM a""")
+def provider_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every view cue's clip cut and heard by a provider by rule, with the reference as its hint; the noisy text where that fails."""
+    asked = pipelines.transcription_requests(pipelines.aligned(*tracks(spark, sf_dir)), F.concat(F.lit("m"), "file_id", F.lit(".mp4")))
+    return with_clips(asked, lambda: ClipTranscriber(_heard_clip, extract=_written_clip)).withColumn("ordinal", F.col("ordinal").cast("long"))
+
+
+_EVIDENCE = "'NOISY TRANSCRIPTION: ' || noisy || chr(10) || 'SECOND TRANSCRIPTION: (not available)' || chr(10) || 'REFERENCE: ' || CASE WHEN corrected <> '' THEN corrected ELSE '(not available)' END"
+
+
+@query(f"""WITH p AS (SELECT CAST(conv_id AS VARCHAR) AS file_id, CAST(turn AS BIGINT) AS ordinal, {_EVIDENCE} AS prompt FROM {_ASKED})
+SELECT file_id, ordinal, CASE WHEN length(prompt) % 5 <> 0 THEN 'system/user: ' || prompt END AS raw, CASE WHEN length(prompt) % 5 = 0 THEN 'down' END AS error FROM p""")
+def provider_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies of a provider by rule to every user turn's messages; a failed call leaves its error in its own row."""
+    rows = _asked(spark, sf_dir).select(F.col("conv_id").cast("string").alias("file_id"), F.col("turn").cast("int").alias("ordinal"), "noisy", F.lit("").alias("whisper"), F.col("corrected").alias("ref"))
+    return with_replies(pipelines.correction_requests(rows), _Written, calls_at_once=4).withColumn("ordinal", F.col("ordinal").cast("long"))
+
+
+def _three_segments(path: str) -> list[dict]:
+    return [{"start": k * 1.5, "end": k * 1.5 + 1, "text": f"{path} {k}"} for k in range(3)]
+
+
+@query("""SELECT CAST(conv_id AS VARCHAR) AS file_id, k + 1 AS ordinal, k * 1.5::DOUBLE AS "start", k * 1.5::DOUBLE + 1 AS "end", 'm' || conv_id || '.mp4 ' || k AS text
+FROM (SELECT DISTINCT conv_id FROM conversations), (SELECT unnest(range(3)) AS k)""")
+def provider_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation as a medium, transcribed whole by a provider by rule."""
+    media = table(spark, sf_dir, "conversations").select("conv_id").distinct().select(F.col("conv_id").cast("string").alias("file_id"), F.concat(F.lit("m"), "conv_id", F.lit(".mp4")).alias("media"))
+    return segments(media, lambda model: ClipTranscriber(None, _three_segments), "tiny").withColumn("ordinal", F.col("ordinal").cast("long"))
 
 
 @query(f"""SELECT count(*) AS total, count(*) FILTER (noisy <> corrected) AS changed FROM {_ASKED}""")

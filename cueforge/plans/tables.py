@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -40,4 +40,29 @@ def cues_sql(name: str, kind: str) -> str:
     return f"{name} AS (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY start_ms, event_id) AS ordinal FROM times WHERE event_type = '{kind}')"
 
 
+#: Invented spoken text: five characters, the k-th of the k-th set by the k-th base-4 digit of a number. No two sets share a character.
+SETS = ("他它塔獅", "在再才菜", "林玲寧民", "新星心山", "問文聞飯")
+
+
+def letter(number: Column, k: int) -> Column:
+    """Character k (from 0) of the text of number."""
+    return F.substring(F.lit(SETS[k]), (F.floor(number / 4**k) % 4 + 1).cast("int"), 1)
+
+
+def spoken(number: Column) -> Column:
+    return F.concat(*[letter(number, k) for k in range(len(SETS))])
+
+
+def letter_sql(number: str, k: int) -> str:
+    return f"substring('{SETS[k]}', CAST({number} // {4**k} % 4 AS INT) + 1, 1)"
+
+
+def spoken_sql(number: str) -> str:
+    return " || ".join(letter_sql(number, k) for k in range(len(SETS)))
+
+
+def spoken_cues(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    return event_cues(spark, sf_dir, kind).withColumn("text", spoken(F.col("event_id")))
+
+
 TRACKS = f"WITH times AS ({EVENT_TIMES}), {cues_sql('cues', 'view')}, {cues_sql('refs', 'click')}"

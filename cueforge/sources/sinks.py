@@ -23,7 +23,7 @@ def _times() -> Column:
 
 
 def _files(df: DataFrame, number: Column, block: Column) -> DataFrame:
-    """Blocks of a file in order of number, one empty line between them."""
+    """Blocks of a file in order of number, one empty line between them. A file's text is one value, so it has to fit into one task."""
     blocks = F.array_sort(F.collect_list(F.struct(number.alias("number"), block.alias("block"))))
     return df.groupBy("file_id").agg(F.array_join(F.transform(blocks, lambda b: b["block"]), "\n").alias("content"))
 
@@ -63,6 +63,11 @@ def write_rendered(rendered: DataFrame, path: str, mode: str = "errorifexists")
     rendered.select("file_id", F.regexp_replace("content", r"\n\z", "").alias("value")).write.mode(mode).partitionBy("file_id").text(path)
 
 
+def json_lines(df: DataFrame) -> DataFrame:
+    """line: all columns of a row as one JSON object, nulls included."""
+    return df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("line"))
+
+
 def write_intermediate(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """All columns as JSON lines."""
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)

@@ -18,7 +18,7 @@ def files(tmp_path):
 
 
 def test_fix_and_compare(spark, files, capsys):
-    (files / "replies.json").write_text(json.dumps({"ordinal": 1, "raw": '[{"wrong": "過重", "correct": "國中"}]'}, ensure_ascii=False))
+    (files / "replies.json").write_text(json.dumps({"ordinal": 1, "raw": '[{"wrong": "是鐘", "correct": "時中"}]'}, ensure_ascii=False))
     main(["fix", str(files / "noisy.srt"), "--reference", str(files / "refs.srt"), "--output", str(files / "out.srt"), "--replies", str(files / "replies.json")], spark)
     assert (files / "out.srt").read_text(encoding="utf-8") == GOLD
     assert "3/4 segments corrected" in capsys.readouterr().out

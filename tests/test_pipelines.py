@@ -14,9 +14,9 @@ def srt(lines):
     return "\n".join(f"{k}\n{clock(a)} --> {clock(b)}\n{t}\n" for k, (a, b, t) in enumerate(lines, 1))
 
 
-NOISY = srt([(0, 2, "他說過重很好"), (10, 12, "文化機開始"), (20, 22, "他在"), (40, 42, "沒有")])
-REFS = srt([(0, 2, "它說國中很好"), (10, 12, "文化祭開始"), (23, 24, "它在")])
-GOLD = srt([(0, 2, "它說國中很好"), (10, 12, "文化祭開始"), (20, 22, "它在"), (40, 42, "沒有")])
+NOISY = srt([(0, 2, "他說是鐘很好"), (10, 12, "問花級開始"), (20, 22, "他在"), (40, 42, "沒有")])
+REFS = srt([(0, 2, "它說時中很好"), (10, 12, "問花紙開始"), (23, 24, "它在")])
+GOLD = srt([(0, 2, "它說時中很好"), (10, 12, "問花紙開始"), (20, 22, "它在"), (40, 42, "沒有")])
 
 
 def files(spark, text, name="f"):
@@ -25,9 +25,9 @@ def files(spark, text, name="f"):
 
 def test_fix_scores_higher_than_the_noisy_track(spark):
     noisy, refs = parse_cues(files(spark, NOISY)), parse_cues(files(spark, REFS))
-    replies = spark.createDataFrame([("f", k, '[{"wrong": "過重", "correct": "國中"}]' if k == 1 else "[]", None) for k in range(1, 5)], "file_id string, ordinal int, raw string, error string")
+    replies = spark.createDataFrame([("f", k, '[{"wrong": "是鐘", "correct": "時中"}]' if k == 1 else "[]", None) for k in range(1, 5)], "file_id string, ordinal int, raw string, error string")
     out = pipelines.fix(noisy, refs, replies)
-    assert {r["ordinal"]: r["new"] for r in out.collect()} == {1: "它說國中很好", 2: "文化祭開始", 3: "它在", 4: "沒有"}
+    assert {r["ordinal"]: r["new"] for r in out.collect()} == {1: "它說時中很好", 2: "問花紙開始", 3: "它在", 4: "沒有"}
     from cueforge.sources.sinks import render_original_index
 
     fixed = render_original_index(out, "new").withColumnRenamed("content", "value")
@@ -42,19 +42,19 @@ def test_correct_and_its_skips(spark):
     noisy, refs = parse_cues(files(spark, NOISY)), parse_cues(files(spark, REFS))
     second = spark.createDataFrame([("f", 1, "second"), ("f", 2, "")], "file_id string, ordinal int, whisper string")
     skipped = {r["ordinal"]: r["corrected"] for r in pipelines.correct(noisy, refs, second, skip_model=True).collect()}
-    assert skipped == {1: "second", 2: "文化機開始", 3: "他在", 4: "沒有"}
+    assert skipped == {1: "second", 2: "問花級開始", 3: "他在", 4: "沒有"}
     no_key = pipelines.correct(noisy, refs, second)
     assert {r["corrected"] for r in no_key.collect()} == {""}
     assert "second" not in render_corrected(no_key).first()["content"]
     replies = spark.createDataFrame([("f", 1, '{"corrected": "它說", "confidence": 0.9}', None), ("f", 2, None, "down")], "file_id string, ordinal int, raw string, error string")
     got = {r["ordinal"]: r for r in pipelines.correct(noisy, refs, replies=replies).collect()}
     assert got[1]["corrected"] == "它說" and not got[1]["flagged"] and got[2]["flag_reason"] == "API error: down" and got[2]["confidence"] == 0.0
-    assert got[3]["corrected"] == "他在" and got[3]["confidence"] == 0.7 and got[1]["ref"] == "它說國中很好"
+    assert got[3]["corrected"] == "他在" and got[3]["confidence"] == 0.7 and got[1]["ref"] == "它說時中很好"
 
 
 class Echo:
     def complete(self, messages):
-        if "過重" in messages[1]["content"].split("\n")[0]:
+        if "是鐘" in messages[1]["content"].split("\n")[0]:
             raise RuntimeError("no")
         return "[]"
 
@@ -68,7 +68,7 @@ def test_providers(spark, tmp_path):
     asked = pipelines.transcription_requests(pipelines.aligned(noisy, refs), F.lit("/media/a b.mp4"))
     make = lambda: ClipTranscriber(lambda wav, hint: f" {hint} " if hint != "沒有" else 1 / 0, extract=lambda *a: None)
     clips = {r["ordinal"]: r["whisper"] for r in with_clips(asked, make).collect()}
-    assert clips == {1: "它說國中很好", 2: "文化祭開始", 3: "他在", 4: "沒有"}
+    assert clips == {1: "它說時中很好", 2: "問花紙開始", 3: "他在", 4: "沒有"}
     media = spark.createDataFrame([("m", "/media/x.mp4")], "file_id string, media string")
     whole = lambda model: ClipTranscriber(None, lambda path: [{"start": 0, "end": 1.5, "text": f" {model} "}])
     out = pipelines.transcribed(segments(media, whole, "tiny")).first()

@@ -42,7 +42,7 @@ def test_strings(spark):
 
 def test_distance(spark):
     d = lambda a, b: normalized_levenshtein(F.lit(a), F.lit(b))
-    assert value(spark, d("", ""), d("a", ""), d("", "a"), d("國中😀", "過重😀"), d("abc", "abd")) == (0.0, 1.0, 1.0, 2 / 3, 1 / 3)
+    assert value(spark, d("", ""), d("a", ""), d("", "a"), d("時中😀", "是鐘😀"), d("abc", "abd")) == (0.0, 1.0, 1.0, 2 / 3, 1 / 3)
 
 
 def test_exact_rounding(spark):
@@ -70,7 +70,7 @@ def test_similarity_of_syllables(spark):
 
 def test_homophones(spark):
     h = lambda a, b: is_homophone(F.lit(a), F.lit(b))
-    assert value(spark, h("過重", "國中"), h("他", "他"), h("他們", "它"), h("辛", "糟"), h("他ab", "它ab"), h("abc", "abd")) == (True, False, False, False, True, False)
+    assert value(spark, h("是鐘", "時中"), h("他", "他"), h("他們", "它"), h("山", "文"), h("他ab", "它ab"), h("abc", "abd")) == (True, False, False, False, True, False)
 
 
 @pytest.mark.parametrize("seed", range(40))
