@@ -5,11 +5,9 @@ All helpers treat a null text as empty and never look at a prefix: a slice holds
 
 from __future__ import annotations
 
-import gc
 import os
 import re
 import tempfile
-import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -57,24 +55,6 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def settled(spark: SparkSession) -> None:
-    """Lets Spark's cleaner take away the shuffle files of finished rounds, to which nothing refers any more.
-
-    To be called after an action that follows the round: Spark holds on to the plan of the last one. What one
-    collection finalizes only a later one frees, and the cleaner works beside: so it goes on while the number of shuffles
-    falls, some seconds at most.
-    """
-    tracked = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
-    quiet, last = 0, tracked.size()
-    for _ in range(10):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.5)
-        quiet, last = (quiet + 1 if tracked.size() == last else 0), tracked.size()
-        if not last or quiet == 4:
-            return
-
-
 def small_batches(df: DataFrame) -> DataFrame:
     """df; from now on Arrow batches between Spark and Python have at most BATCH_BYTES, unless the session has set any bound.
 
@@ -222,7 +202,7 @@ def within(n: int, offsets: np.ndarray, width: int) -> np.ndarray:
 
 
 def squeeze(a: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(a).tobytes())
+    return zstandard.ZstdCompressor(level=6).compress(np.ascontiguousarray(a).tobytes())
 
 
 def unsqueeze(b: bytes, dtype) -> np.ndarray:

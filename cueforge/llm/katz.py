@@ -6,14 +6,16 @@ alpha(h) divides what h's discounts leave by the unigram mass of the words not s
 vocabulary and the unknown word exactly. A history all of whose counts are above K keeps 1 / (c(h) + 1) for backoff.
 
 Documents are packed into chunks. Round one sends each chunk's distinct words to the words' hash ranges and returns their
-training counts. Round two sends its distinct bigrams to their histories' ranges, with the words' counts, and returns
+training counts and numbers: a word's place among its range's words, so in the order of the 64-bit hashes. Round two sends
+its distinct bigrams, as numbers, to their histories' ranges, with the words' counts, and returns
 the bigrams' training counts and per history the numbers of continuations of each small count and their unigram mass.
 With both, a chunk evaluates its documents token by token. A history with more than N / HOT tokens (so fewer than HOT of
-them) is dealt out by continuation instead, and its sums are put together from all ranges. Sums over the corpus stay in
-tables; the driver gets only totals and at most HOT histories.
+them) is dealt out by continuation instead, and its sums are put together from all ranges. Both rounds' tables, partitioned by
+range, are kept in the checkpoint folder; the driver gets only totals and fewer than HOT sums. katz_tables keeps models of any order.
 
 Null texts are empty: one end token. Rows without a doc_id are training rows. Without training rows every token is the one
-unknown word, of probability 1. Repeated rows each count and are scored each.
+unknown word, of probability 1. Repeated rows each count and are scored each. An empty table gives no rows. A very long text is a
+chunk of its own. Columns besides doc_id and text are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Chunk, ascending, chunks, narrow, saved, settled, span_hashes, unascending, widen, words
+from .common import Chunk, ascending, chunks, narrow, saved, span_hashes, unascending, widen, words
 from .substring import ranged
 
 K = 5
@@ -34,10 +36,13 @@ CHUNK_BYTES = 12 << 20
 RANGE = 1_000_000
 END = np.uint64(0x1F0E5D3C7B9A8642)
 START = np.uint64(0xC6A4A7935BD1E995)
+#: A word's number: its range above, its place in the range below. No word has START's.
+PLACES = np.uint64(1 << 32)
+START_NUMBER = np.uint64(1 << 63)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 REQUEST = "range long, chunk long, a binary, b binary, c binary, d binary, e binary, f binary"
-REPLY = "chunk long, round int, range long, a binary, b binary, c binary, d binary"
+REPLY = "chunk long, round int, range long, a binary, b binary, c binary, mass double, small array<long>"
 
 
 class Tokens:
@@ -122,7 +127,7 @@ class Unigrams:
 
 
 def _table(rows: list[tuple], schema: str) -> pa.Table:
-    types = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "double": pa.float64()}
+    types = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "double": pa.float64(), "array<long>": pa.list_(pa.int64())}
     fields = [x.split() for x in schema.split(", ")]
     return pa.table({name: pa.array([r[i] for r in rows], types[kind]) for i, (name, kind) in enumerate(fields)})
 
@@ -134,36 +139,39 @@ def _grouped(key: np.ndarray, *sums: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _count_words(table: pa.Table) -> pa.Table:
-    """Round one at a range: training counts of the words, back to each chunk; in row -1 the range's count of counts."""
+    """Round one at a range: training counts and places of the words, back to each chunk; in row -1 the range's count of counts."""
     rows = table.to_pylist()
     a = [unascending(r["a"]) for r in rows]
     own, place, (count,) = _grouped(np.concatenate(a), np.concatenate([widen(r["b"]) for r in rows]).astype(float))
     count = count.astype(np.int64)
     out, at = [], 0
     for r, x in zip(rows, a, strict=True):
-        out.append((r["chunk"], 1, r["range"], narrow(count[place[at : at + len(x)]]), b"", b"", b""))
+        mine = place[at : at + len(x)]
+        out.append((r["chunk"], 1, r["range"], narrow(count[mine]), ascending(mine.astype(np.uint64)), b"", None, None))
         at += len(x)
-    seen = count[count > 0]
-    out.append((-1, 1, rows[0]["range"], np.array([seen.sum(), len(seen), *np.bincount(np.minimum(seen, K + 2), minlength=K + 3)[1 : K + 2]], "<i8").tobytes(), b"", b"", b""))
+    out.append((-1, 1, rows[0]["range"], b"", b"", b"", None, _stats(count)))
     return _table(out, REPLY)
 
 
-def _stats(batches):
-    for batch in batches:
-        got = np.array([np.frombuffer(b, "<i8") for b in batch.column(0).to_pylist()]).reshape(-1, K + 3)
-        yield pa.RecordBatch.from_pydict({"s": pa.array([got.sum(0).tolist()], pa.list_(pa.int64()))})
+def _stats(count: np.ndarray) -> list[int]:
+    """Sum, number, and how many have each count up to K + 1, of the counts over 0."""
+    seen = count[count > 0]
+    return [int(seen.sum()), len(seen), *np.bincount(np.minimum(seen, K + 2), minlength=K + 3)[1 : K + 2].tolist()]
+
+
+def _sums(n: int) -> list:
+    return [F.sum(F.col("small")[i]).alias(f"s{i}") for i in range(n)]
 
 
 def _summed(df: DataFrame) -> np.ndarray:
     """Sum of the count-of-counts rows."""
-    s = df.mapInArrow(_stats, "s array<long>").agg(*[F.sum(F.col("s")[i]).alias(f"s{i}") for i in range(K + 3)]).first()
-    return np.array([v or 0 for v in s], np.int64)
+    return np.array([v or 0 for v in df.agg(*_sums(K + 3)).first()], np.int64)
 
 
 class Bigrams:
     """A chunk's distinct bigrams in the order of round two: by range, history, word."""
 
-    def __init__(self, t: Tokens, count: np.ndarray, u: Unigrams, ranges: int):
+    def __init__(self, t: Tokens, count: np.ndarray, number: np.ndarray, u: Unigrams, ranges: int):
         hist = np.full(len(t.token), -1, np.int64)
         hist[1:] = t.place[:-1]
         hist[t.first] = -1
@@ -171,13 +179,14 @@ class Bigrams:
         code, self.place = np.unique(code, return_inverse=True)
         self.seen = np.bincount(self.place, t.train, len(code)).astype(np.int64)
         h, w = code // len(t.words) - 1, code % len(t.words)
-        self.word, self.history = t.words[w], np.where(h < 0, START, t.words[h])
+        self.word, self.history = number[w], np.where(h < 0, START_NUMBER, number[h])
+        history = np.where(h < 0, START, t.words[h])
         self.count_w = count[w]
-        self.count_h = np.where(h < 0, u.starts, np.where(self.history == END, 0, count[h]))
+        self.count_h = np.where(h < 0, u.starts, np.where(history == END, 0, count[h]))
         self.hot = self.count_h > u.hot
-        # where an entry is dealt: by its history, or by its word if the history is hot
-        key = np.where(self.hot, self.word ^ self.history, self.history)
-        top = ((key >> np.uint64(40)).astype(np.int64) * ranges) >> 24
+        # where an entry is dealt: by its history's hash, or by its word's too if the history is hot
+        key = np.where(self.hot, t.words[w] ^ history, history)
+        top = ((key >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
         order = np.lexsort((self.word, self.history, top))
         back = np.empty(len(order), np.int64)
         back[order] = np.arange(len(order))
@@ -203,8 +212,7 @@ def _ask(t: Tokens, g: Bigrams, number: int) -> list[tuple]:
     out = []
     for k, own, heads in g.spans():
         sizes = np.diff(np.append(heads, own.stop))
-        # words once each, by the upper 48 bits of their hashes: within one history these tell them apart
-        word, first, place = np.unique(g.word[own] >> np.uint64(16), return_index=True, return_inverse=True)
+        word, first, place = np.unique(g.word[own], return_index=True, return_inverse=True)
         out.append((k, number, ascending(g.history[heads]), ascending(word), narrow(g.count_w[own][first]), narrow(g.seen[own]), _two(sizes, g.hot[heads]), narrow(place)))
     return out
 
@@ -253,24 +261,25 @@ def _count_bigrams(u: Unigrams, table: pa.Table) -> pa.Table:
     for r, s, hd, f in zip(rows, size, head, hot, strict=True):
         n = int(s.sum())
         i = np.searchsorted(own, hd[~f])
-        out.append((r["chunk"], 2, r["range"], narrow(total[at : at + n]), mass[i].tobytes(), narrow(small[i].ravel()), b""))
+        out.append((r["chunk"], 2, r["range"], narrow(total[at : at + n]), mass[i].tobytes(), narrow(small[i].ravel()), None, None))
         is_hot |= dict.fromkeys(hd[f].tolist())
         at += n
     for x in is_hot:
         i = int(np.searchsorted(own, np.uint64(x)))
-        out.append((HOT_ROW, 2, rows[0]["range"], np.array([x], "<u8").tobytes(), mass[i : i + 1].tobytes(), small[i].astype("<i8").tobytes(), b""))
-    stat = c[c > 0]
-    out.append((-1, 2, rows[0]["range"], np.array([stat.sum(), len(stat), *np.bincount(np.minimum(stat, K + 2), minlength=K + 3)[1 : K + 2]], "<i8").tobytes(), b"", b"", b""))
+        out.append((HOT_ROW, 2, rows[0]["range"], np.array([x], "<u8").tobytes(), b"", b"", float(mass[i]), small[i].tolist()))
+    out.append((-1, 2, rows[0]["range"], b"", b"", b"", None, _stats(c)))
     return _table(out, REPLY)
 
 
-def _answers(t: Tokens, rows: list[dict], ranges: int) -> np.ndarray:
-    """Round one's counts of the chunk's words."""
-    edges, count = ranged(t.words, 64, ranges), np.zeros(len(t.words), np.int64)
+def _answers(t: Tokens, rows: list[dict], ranges: int) -> tuple[np.ndarray, np.ndarray]:
+    """Round one's counts and numbers of the chunk's words."""
+    edges, count, number = ranged(t.words, 64, ranges), np.zeros(len(t.words), np.int64), np.zeros(len(t.words), np.uint64)
     for r in rows:
         if r["round"] == 1:
-            count[edges[r["range"]] : edges[r["range"] + 1]] = widen(r["a"]).astype(np.int64)
-    return count
+            own = slice(edges[r["range"]], edges[r["range"] + 1])
+            count[own] = widen(r["a"]).astype(np.int64)
+            number[own] = np.uint64(r["range"]) * PLACES + unascending(r["b"])
+    return count, number
 
 
 @dataclass
@@ -312,7 +321,7 @@ def score(df: DataFrame, train, chunk_bytes: int = CHUNK_BYTES, hot: int = HOT)
     rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(train, F.lit(True)).alias("train"), "text")
     parts = chunks(rows, chunk_bytes)
     size = parts.agg(F.sum("n_words")).first()[0] or 0
-    ranges = min(1 << 20, max(1, -(-size // RANGE)))
+    ranges = max(1, -(-size // RANGE))
 
     def ask_words(batches):
         for batch in batches:
@@ -323,33 +332,28 @@ def score(df: DataFrame, train, chunk_bytes: int = CHUNK_BYTES, hot: int = HOT)
                 yield from _table(out, REQUEST).to_batches()
 
     one = saved(parts.mapInArrow(ask_words, REQUEST).groupBy("range").applyInArrow(_count_words, REPLY))
-    s = _summed(one.filter("chunk = -1").select("a"))
+    s = _summed(one.filter("chunk = -1"))
     starts = _starts(rows)
-    settled(df.sparkSession)
     u = Unigrams.of(int(s[0]), int(s[1]), s[2:], starts, hot)
 
     def ask_bigrams(left: pa.Table, right: pa.Table) -> pa.Table:
         row = left.to_pylist()[0]
         t = Tokens(row)
-        return _table(_ask(t, Bigrams(t, _answers(t, right.to_pylist(), ranges), u, ranges), row["chunk"]), REQUEST)
+        return _table(_ask(t, Bigrams(t, *_answers(t, right.to_pylist(), ranges), u, ranges), row["chunk"]), REQUEST)
 
     known = one.filter("chunk >= 0")
     asked = parts.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(ask_bigrams, REQUEST)
     two = saved(asked.groupBy("range").applyInArrow(lambda t: _count_bigrams(u, t), REPLY))
-    del asked
-    bigrams = Discounts.good_turing(_summed(two.filter("chunk = -1").select("a"))[2:])
-    sums: dict[int, tuple[float, np.ndarray]] = {}
-    for r in two.filter(f"chunk = {HOT_ROW}").groupBy("a").agg(F.collect_list(F.struct("b", "c")).alias("parts")).collect():
-        key = int(np.frombuffer(r["a"], "<u8")[0])
-        sums[key] = (sum(float(np.frombuffer(p["b"], np.float64)[0]) for p in r["parts"]), sum(np.frombuffer(p["c"], "<i8") for p in r["parts"]))
-    settled(df.sparkSession)
+    bigrams = Discounts.good_turing(_summed(two.filter("chunk = -1"))[2:])
+    hot_rows = two.filter(f"chunk = {HOT_ROW}").groupBy("a").agg(F.sum("mass"), *_sums(K)).collect()  # a row for each hot history
+    sums = {int(np.frombuffer(r[0], "<u8")[0]): (r[1], np.array(r[2:], np.int64)) for r in hot_rows}
     model = Model(u, bigrams, sums)
 
     def evaluate(left: pa.Table, right: pa.Table) -> pa.Table:
         row, replies = left.to_pylist()[0], right.to_pylist()
         t = Tokens(row)
-        count = _answers(t, replies, ranges)
-        g = Bigrams(t, count, u, ranges)
+        count, number = _answers(t, replies, ranges)
+        g = Bigrams(t, count, number, u, ranges)
         own = np.bincount(t.doc, model.logs(g, replies)[g.place], t.n_docs)
         c = count[t.place]
         base = np.log10((c + 0.1) / (u.total + 0.1 * (u.types + 1)))
