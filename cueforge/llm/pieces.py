@@ -6,15 +6,23 @@ share nothing, and the n best paths of the text are the n best sums over the uni
 second path costs least can differ from their best; what it costs follows from a forward and a backward pass. For these
 units a forward Viterbi pass gives the best score from the start to every place, and a search from the end backward
 uses these scores as the exact remaining cost of A*, so paths leave the agenda best first and every popped state lies on
-one of the n best paths. Characters outside the vocabulary fall back to byte pieces, as one edge.
+one of the n best paths. Characters outside the vocabulary fall back to byte pieces, as one edge. (One A* over a whole text would
+pop every place of it for each path, some ten times the time for the same paths.)
 
-Null and empty texts have the one empty segmentation, score 0. Ties: longer last pieces first.
+No unigram vocabulary is at hand, and tokenizers are not trained here. A byte-pair vocabulary's scores are ranks, whose sums favour
+many pieces of low rank, so a score is the logarithm of a Zipf-Mandelbrot probability of the rank, p(r) ~ 1 / (r + SHIFT), rounded to
+1/1024 so that sums are exact and ties are ties.
+
+Null and empty texts have the one empty segmentation, score 0. Ties: longer last pieces first. A text's own U+2581, the space mark, goes
+to byte pieces, so every text decodes to itself. Repeated rows and rows with null or equal doc_ids each give their row, an empty table
+none; other columns are not looked at, whatever their names. A very long text takes time by its length.
 """
 
 from __future__ import annotations
 
 import hashlib
 import heapq
+import math
 import os
 import re
 from array import array
@@ -27,6 +35,10 @@ from pyspark.sql import DataFrame
 from .common import mapped, text_frame
 
 MARK = "▁"
+#: Stands for a mark of the text's own; no UTF-8 text holds it.
+OWN = "\ud800"
+#: Ranks are shifted by so much before they divide.
+SHIFT = 2.7
 BYTE_LOSS = 10.0
 #: Units kept with their paths by one worker; later ones are computed each time.
 CACHE_UNITS = 500_000
@@ -49,7 +61,7 @@ class Lattice:
         self.pieces, self.longest = pieces, max(map(len, pieces), default=1)
         self.bytes = byte_ids
         self.low = min((s for _, s in pieces.values()), default=0.0) - BYTE_LOSS
-        self.back = {i: p.encode() for p, (i, _) in pieces.items()} | {i: bytes([b]) for b, i in enumerate(byte_ids or [])}
+        self.back = {i: p.replace(MARK, " ").encode() for p, (i, _) in pieces.items()} | {i: bytes([b]) for b, i in enumerate(byte_ids or [])}
         self.cache: dict[str, tuple[float, bytes, float]] = {}
         self.parts: dict[str, tuple[float, bytes, float]] = {}
         self.inner = {p[k : k + 2] for p in pieces for k in range(len(p) - 1)}
@@ -84,7 +96,7 @@ class Lattice:
     def ids(self, unit: str, start: int, end: int, piece: int | None) -> list[int]:
         if piece is not None:
             return [piece]
-        return [self.bytes[b] if self.bytes else -1 for b in unit[start:end].encode()]
+        return [self.bytes[b] if self.bytes else -1 for b in unit[start:end].replace(OWN, MARK).encode()]
 
     def search(self, unit: str, n: int) -> list[tuple[float, list[int]]]:
         """The n best segmentations of unit, best first."""
@@ -217,19 +229,19 @@ class Lattice:
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of ids, byte pieces put together, the leading mark taken off."""
-        return b"".join(map(self.back.__getitem__, ids.tolist())).decode("utf-8", "replace").replace(MARK, " ").removeprefix(" ")
+        return b"".join(map(self.back.__getitem__, ids.tolist())).decode("utf-8", "replace").removeprefix(" ")
 
 
 def normalise(text: str) -> str:
-    """The vocabulary's own rule: a mark before the text, marks for spaces, nothing else changed."""
-    return (MARK + text).replace(" ", MARK) if text else ""
+    """The vocabulary's own rule: a mark before the text, marks for spaces, nothing else changed but the text's own marks."""
+    return MARK + text.replace(MARK, OWN).replace(" ", MARK) if text else ""
 
 
 @lru_cache(maxsize=2)
 def load(path: str) -> Lattice:
-    """A lattice from a SentencePiece file: its ordinary pieces with their scores, its byte pieces as fallback.
+    """A lattice from a SentencePiece file: its ordinary pieces with scores by rank, its byte pieces as fallback.
 
-    Unused filler scores (below -1e6) of space runs are taken as one below the least ordinary score.
+    Ranks go by the file's scores, higher ones first; the filler scores of space runs make these the last.
     """
     import sentencepiece
 
@@ -241,14 +253,15 @@ def load(path: str) -> Lattice:
             byte_ids[int(p[1:-1], 16)] = i
         elif not (sp.is_unknown(i) or sp.is_control(i) or sp.is_unused(i)):
             pieces[p] = (i, sp.get_score(i))
-    least = min(s for _, s in pieces.values() if s > -1e6)
-    return Lattice({p: (i, s if s > -1e6 else least - 1) for p, (i, s) in pieces.items()}, byte_ids)
+    ranked = sorted(pieces, key=lambda p: (-pieces[p][1], pieces[p][0]))
+    total = sum(1 / (r + SHIFT) for r in range(1, len(ranked) + 1))
+    return Lattice({p: (pieces[p][0], round(-1024 * math.log((r + SHIFT) * total)) / 1024) for r, p in enumerate(ranked, 1)}, byte_ids)
 
 
 def segment(df: DataFrame, n: int = 4, path: str | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """A row for each row of df: pieces and digest of the best ids, scores and ids' digests of all n, and a decoding check.
 
-    scores are joined by commas, best first, rounded to whole numbers where the vocabulary's scores are whole.
+    scores are joined by commas, best first, in full: they are multiples of 1/1024.
     """
     path = path or os.environ.get("CUEFORGE_PIECES") or model_path()
 
@@ -258,7 +271,7 @@ def segment(df: DataFrame, n: int = 4, path: str | None = None, key: str = "doc_
         for t in part.column(1).to_pylist():
             best = lattice.nbest(normalise(t := t or ""), n)
             ids = best[0][1]
-            for col, v in zip(cols, (len(ids) // 4, best[0][0], hashlib.sha256(ids).hexdigest(), ",".join(f"{s:.3f}" for s, _ in best), ",".join(hashlib.sha256(i).hexdigest()[:16] for _, i in best), lattice.decode(np.frombuffer(ids, "<u4")) == t), strict=True):
+            for col, v in zip(cols, (len(ids) // 4, best[0][0], hashlib.sha256(ids).hexdigest(), ",".join(repr(s) for s, _ in best), ",".join(hashlib.sha256(i).hexdigest()[:16] for _, i in best), lattice.decode(np.frombuffer(ids, "<u4")) == t), strict=True):
                 col.append(v)
         types = (pa.int64(), pa.float64(), pa.string(), pa.string(), pa.string(), pa.bool_())
         names = ("n_pieces", "best_score", "best_ids_sha256", "scores", "nbest_ids", "decodes")
