@@ -1,11 +1,15 @@
 """Secret scans: candidate strings judged by a random forest.
 
-A candidate is a run of 16 or more key characters with a digit or mixed case. Features: length, kinds of characters,
+A candidate is a run of 16 or more key characters with a digit or mixed case, or a value of 6 or more given to a key word, such as
+a short or letters-only password. Features: length, kinds of characters,
 transitions between kinds, coverage by dictionary words, whether it stands in a path or an assignment, and its
 neighbouring words. The forest is trained from labelled findings; by default these come from a documented generator
-(bounded: FINDINGS rows, fixed seed), or pass your own (context_before, token, context_after, is_secret).
+(FINDINGS rows and half as many given values, fixed seed), or pass your own (context_before, token, context_after, is_secret).
 
-Null and empty texts have no candidates. Spans are code points, ends exclusive, left to right, never overlapping.
+Null and empty texts have no candidates. Spans are code points, ends exclusive, left to right, never overlapping. A very long text is
+searched whole, in linear time. Repeated rows and rows with null or equal doc_ids each give their row, an empty table none; columns
+besides the text (and n_chars, where it is one) are carried along or not looked at, whatever their names. A score of just the
+threshold is a secret.
 """
 
 from __future__ import annotations
@@ -13,7 +17,9 @@ from __future__ import annotations
 import base64
 import random
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,15 +37,35 @@ _HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 NEAR = ("key", "token", "secret", "password", "passwd", "pwd", "auth", "bearer", "credential", "private", "access", "api")
 FAR = ("sha", "commit", "checksum", "md5", "digest", "hash", "uuid", "guid", "etag", "revision", "integrity", "version", "path", "file", "example", "sample", "test", "dummy", "placeholder")
 PREFIXES = ("AKIA", "ghp_", "gho_", "sk-", "sk_live_", "xoxb-", "xoxp-", "AIza", "glpat-", "eyJ", "npm_", "hf_")
-#: Dictionary for the coverage feature; a parameter of features().
-DICTIONARY = frozenset("the and that with for this from have not are was but they his her which will there their what about would make like time just know take people into year good some could them see other than then now look only come over think also back after use two how our work first well way even new want because any these give day most system file user name data value test example config main index class function return string number list item text image page service server client request response model table column report country language market public house world water school state family student group problem hand part place case week company program question government night point home room mother area money story fact month lot right study book eye job word business issue side kind head service friend father power hour game line end member law car city city team idea body information lead social watch stop face level office door health person art war history party result change reason research air".split())
+PLACEHOLDERS = ("your", "change", "example", "sample", "dummy", "placeholder", "redacted", "none", "null", "true", "false", "xxx", "***", "...", "${", "%(", "<", "todo", "required", "optional")
+_KEYS = r"pass(?:word|wd|phrase)|pwd|secret|token|(?:api|access|private|auth)[_-]?key|auth|credentials?|bearer"
+_KEYS = rf"(?:{_KEYS})(?:[_-]?(?:key|value))?"
+#: A value given to a key word: found whatever its length (6 at least) and letters.
+_ASSIGNED = re.compile(rf"(?:{_KEYS})[\"']?[ \t]{{0,3}}(?:=>|:=|==?|:)[ \t]{{0,3}}[\"']?([^\s\"'`,;&<>()\[\]]{{6,}}+)", re.IGNORECASE)
+_GIVEN = re.compile(rf"(?:{_KEYS})[\"']?[ \t]{{0,3}}(?:=>|:=|==?|:)[ \t]{{0,3}}[\"']?$", re.IGNORECASE)
+_HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
+
+
+@lru_cache(maxsize=4)
+def vocabulary_words(path: str | None = None) -> frozenset[str]:
+    """Dictionary for the coverage feature: the words of three and more letters that a public vocabulary has as pieces of their own.
+
+    Some ten thousand words of its languages; read from the installed file, or one that you name.
+    """
+    import public_tokenizers
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=path or public_tokenizers.path("piece_bpe_32k.model"))
+    pieces = map(sp.id_to_piece, range(sp.get_piece_size()))
+    return frozenset(p[1:].lower() for p in pieces if p[0] == "▁" and len(p) > 3 and p[1:].isalpha())
 
 
 def _kind(c: str) -> int:
     return 0 if c.isdigit() else 1 if "a" <= c <= "z" else 2 if "A" <= c <= "Z" else 3
 
 
-def features(before: str, token: str, after: str, dictionary: frozenset[str] = DICTIONARY) -> list[float]:
+def features(before: str, token: str, after: str, dictionary: frozenset[str] | None = None) -> list[float]:
+    dictionary = vocabulary_words() if dictionary is None else dictionary
     n = len(token)
     kinds = [_kind(c) for c in token]
     share = [kinds.count(k) / n for k in range(4)]
@@ -47,7 +73,7 @@ def features(before: str, token: str, after: str, dictionary: frozenset[str] = D
     counts = np.bincount(np.frombuffer(token.encode("latin-1", "replace"), np.uint8))
     p = counts[counts > 0] / n
     low = token.lower()
-    covered = sum(len(w) for w in _WORD.findall(low.replace("_", " ").replace("-", " ").replace("/", " ")) if w in dictionary)
+    covered = sum(len(w) for w in _WORD.findall(_HUMP.sub(" ", token).lower()) if w in dictionary)
     longest = max((len(w) for w in _WORD.findall(token)), default=0)
     near = before[-CONTEXT:].lower()
     vowels = sum(c in "aeiou" for c in low) / max(1, sum(c.isalpha() for c in low))
@@ -57,6 +83,7 @@ def features(before: str, token: str, after: str, dictionary: frozenset[str] = D
         float(bool(_HEX.fullmatch(token))), float(token.count("/") + token.count("-") + token.count("_")),
         float(token.startswith(PREFIXES)), float(any(w in near for w in NEAR)), float(any(w in near for w in FAR)),
         float(tail.endswith(("=", ":", "=>"))), float(before[-1:] in "\"'`" and bool(before)), float(before[-1:] in "/." and bool(before) or after[:1] in ("/", "\\") or bool(re.match(r"\.[a-z]{2,4}\b", after))),
+        float(low in dictionary), float(bool(_GIVEN.search(before))), max(map(token.count, set(token))) / n, float(any(w in low for w in PLACEHOLDERS)),
     ]
 
 
@@ -65,7 +92,7 @@ def generated_findings(n: int = FINDINGS, seed: int = 11) -> list[tuple[str, str
     rng = random.Random(seed)
     alnum = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
     some = lambda chars, k: "".join(rng.choice(chars) for _ in range(k))
-    words = sorted(DICTIONARY)
+    words = sorted(vocabulary_words())
     syllables = ("an", "er", "th", "ing", "tion", "ou", "en", "re", "ly", "ble", "st", "ha", "con", "de", "que", "ment", "ich", "ung", "ado", "ez")
     prose = lambda k: " ".join("".join(rng.choice(syllables) for _ in range(rng.randint(1, 4))) for _ in range(k))
     out = []
@@ -94,14 +121,33 @@ def generated_findings(n: int = FINDINGS, seed: int = 11) -> list[tuple[str, str
             lambda: (rng.choice(("your", "example", "dummy", "test")) + rng.choice("-_") + rng.choice(("api", "secret", "access")) + rng.choice("-_") + rng.choice(("key", "token")) + rng.choice(("", "-here", "-123456")), rng.choice(NEAR) + "=", ""),
         ][kind]()
         out.append(((prose(rng.randint(0, 4)) + " " + before)[-CONTEXT:], token if len(token) >= 16 else token + "_" + token, after + " " + prose(2), 0))
+        # values given to a key word: short or letters only, against words, names and placeholders
+        key = rng.choice(("password", "passwd", "pwd", "secret", "token", "api_key", "auth_key", "DB_PASSWORD", "passphrase", "credentials"))
+        join = rng.choice(('="', ": ", "=", ' = "', ": '", '": "', " => '", ":"))
+        long = [w for w in (rng.choice(words) for _ in range(12)) if len(w) >= 6] or ["letters"]
+        lead = (prose(rng.randint(0, 4)) + rng.choice((" ", "\n")) + key + join)[-CONTEXT:]
+        quote = join[-1] if join[-1] in "\"'" else ""
+        if rng.random() < 0.5:
+            token = [
+                lambda: rng.choice(words) + str(rng.randint(1, 9999)) + rng.choice(("", "!", "secret", "pass")), lambda: some(alnum, rng.randint(8, 15)), lambda: some(alnum[26:52], rng.randint(9, 20)),
+                lambda: "".join(rng.choice(words) for _ in range(rng.randint(3, 5))), lambda: some(alnum + "!#$%*+?@^", rng.randint(8, 16)), lambda: rng.choice(words).title() + rng.choice("!@#$%_") + str(rng.randint(10, 2030)),
+            ][rng.randrange(6)]()
+            out.append((lead, token if len(token) >= 6 else token + "7Q" + token, quote + rng.choice(("", "\n", " ")) + prose(2), 1))
+        else:
+            token = [
+                lambda: rng.choice(long), lambda: rng.choice(long) + rng.choice(".:!?"), lambda: rng.choice("x*.-") * rng.randint(6, 12), lambda: rng.choice(("changeme", "your_password", "example", "placeholder", "required", "redacted", "undefined", "disabled")),
+                lambda: "${" + key.upper() + "}", lambda: rng.choice(("os.environ", "process.env." + key.upper(), "config." + key, "get_" + key, "self." + key)), lambda: "/".join(rng.choice(words) for _ in range(3)),
+            ][rng.randrange(7)]()
+            out.append((lead, token, quote + " " + prose(2), 0))
     return out
 
 
 @dataclass
 class Forest:
-    """Trees as flat arrays: feature (-1: leaf), threshold, left and right child, share of secrets."""
+    """Trees as flat arrays: feature (-1: leaf), threshold, left and right child, share of secrets. words: the dictionary they were grown with."""
 
     trees: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+    words: frozenset[str] | None = None
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         total = np.zeros(len(x))
@@ -155,12 +201,44 @@ def grow(x: np.ndarray, y: np.ndarray, trees: int = 30, depth: int = 9, seed: in
     return Forest(forest)
 
 
-def train(findings: list[tuple[str, str, str, int]] | None = None) -> Forest:
+def train(findings: list[tuple[str, str, str, int]] | None = None, dictionary: frozenset[str] | None = None) -> Forest:
+    """A forest grown from labelled findings (context before, token, context after, is_secret); a dictionary of your own goes with it."""
     rows = findings if findings is not None else generated_findings()
-    return grow(np.array([features(*r[:3]) for r in rows]), np.array([r[3] for r in rows], float))
+    forest = grow(np.array([features(*r[:3], dictionary) for r in rows]), np.array([r[3] for r in rows], float))
+    forest.words = vocabulary_words() if dictionary is None else dictionary
+    return forest
+
+
+def _own_length(value: str) -> int:
+    """Length of value without sentence marks and runs of one sign at its end."""
+    n = len(value)
+    while n:
+        c = value[n - 1]
+        if c in "#*$%!" and value[n - 2 : n - 1] == c:
+            while n and value[n - 1] == c:
+                n -= 1
+        elif c in ".:?":
+            n -= 1
+        else:
+            break
+    return n
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
+    """Spans of runs of key characters, and of values given to a key word where no run is, in order."""
+    out = _runs(text)
+    starts = [a for a, _ in out]
+    more = []
+    for m in _ASSIGNED.finditer(text):
+        a, b = m.start(1), m.start(1) + _own_length(m[1])
+        b = b if b - a >= 6 else m.end(1)
+        i = bisect_left(starts, b)
+        if not (i and out[i - 1][1] > a) and not (more and more[-1][1] > a):
+            more.append((a, b))
+    return sorted(out + more)
+
+
+def _runs(text: str) -> list[tuple[int, int]]:
     out = []
     for m in _RUN.finditer(text):
         t = m[0]
@@ -175,7 +253,7 @@ def judge(text: str, forest: Forest, threshold: float) -> tuple[int, list[tuple[
     spans = candidates(text)
     if not spans:
         return 0, []
-    x = np.array([features(text[max(0, a - CONTEXT) : a], text[a:b], text[b : b + 8]) for a, b in spans])
+    x = np.array([features(text[max(0, a - CONTEXT) : a], text[a:b], text[b : b + 8], forest.words) for a, b in spans])
     p = forest.predict(x)
     return len(spans), [(a, b, float(s)) for (a, b), s in zip(spans, p, strict=True) if s >= threshold]
 
