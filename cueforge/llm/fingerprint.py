@@ -5,7 +5,9 @@ words has none). Sketches of parts merge by keeping the k least of both, and est
 number of distinct shingles. Written as base64 of big-endian 64-bit values, ascending.
 
 Null texts are empty. Two empty sketches have likeness 1, an empty and a filled one 0. Repeated doc_ids follow the hash of
-their text, a null doc_id comes last in descending order.
+their text, a null doc_id comes last in descending order. Each row gives its row; an empty table none, and a single row is followed by
+itself. Very long texts are taken whole. Other columns are not looked at, whatever their names. Rows of one doc_id, or of none, are cut by the
+hash of their text, so only equal rows have to stay in one task, which holds two of them at a time.
 """
 
 from __future__ import annotations
@@ -19,10 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import buffers, shuffle_count, slices, span_hashes, text_frame, windows, words
+from .common import HOT, buffers, shuffle_count, slices, span_hashes, text_frame, windows, words
 
 K = 128
 WIDTH = 5
+SPREAD = 64
 
 
 def sketches(texts: pa.Array, k: int = K, width: int = WIDTH) -> list[np.ndarray]:
@@ -108,22 +111,28 @@ def compared(ids: list, texts: list[str], following: list[str], k: int, width: i
     })
 
 
-def parted(df: DataFrame, column: str, parts: int) -> DataFrame:
-    """df with part: a number that grows with column, each part about as large, nulls in part -1.
+def parted(df: DataFrame, column: str, tie: str, parts: int) -> DataFrame:
+    """df with part: a number that grows with column and, within one value, falls with tie; nulls have the least parts.
 
-    Bounds are quantiles (at most parts numbers on the driver), so a row's part depends on nothing but its value: a task that
-    runs again, or a plan that deals the rows out twice, puts it in the same place.
+    Each part is about as large: bounds are quantiles, and a value that more than one in HOT of all rows has, or null, is a part of its own,
+    cut into SPREAD by tie. The driver holds these bounds and values (fewer than HOT; those beyond 2**53 are not cut), and a row's part
+    depends on nothing but its own values: a task that runs again, or a plan that deals the rows out twice, puts it in the same place.
     """
     from pyspark.ml.feature import Bucketizer  # here, as workers that import this module have no use for it
 
+    counts = df.groupBy(column).agg(F.count("*").alias("n"))
+    total = df.count()
+    hot = [r[0] for r in counts.filter(F.col("n") > total / HOT).filter(F.col(column).isNotNull() & (F.abs(column) < 1 << 53)).collect()]
     found = df.approxQuantile(column, [k / parts for k in range(1, parts)], 0.25 / parts) if parts > 1 else []
-    splits = [-float("inf"), *sorted(set(found)), float("inf")]
-    if len(splits) < 3:
-        return df.withColumn("part", F.when(F.col(column).isNull(), -1).otherwise(0))
+    splits = [-float("inf"), *sorted({*found, *map(float, hot), *(float(h + 1) for h in hot)}), float("inf")]
     value = df.withColumn("_value", F.coalesce(F.col(column).cast("double"), F.lit(0.0)))
-    cut = Bucketizer(splits=splits, inputCol="_value", outputCol="_part").transform(value)
+    cut = Bucketizer(splits=splits, inputCol="_value", outputCol="_part").transform(value) if len(splits) > 2 else value.withColumn("_part", F.lit(0.0))
+    turn = F.lit(SPREAD - 1) - F.floor((F.col(tie).cast("double") + 2.0**63) / 2.0**64 * SPREAD).cast("long")
+    turn = F.greatest(F.lit(0).cast("long"), turn)
+    own = F.col(column).isNull() | (F.col(column).isin(hot) if hot else F.lit(False))
     # never null, also to the planner: a filter for it would keep plans from sharing one exchange
-    return cut.withColumn("part", F.coalesce(F.when(F.col(column).isNotNull(), F.col("_part").cast("int")), F.lit(-1))).drop("_value", "_part")
+    number = F.coalesce(F.when(F.col(column).isNotNull(), F.col("_part").cast("long")), F.lit(-1).cast("long"))
+    return cut.withColumn("part", number * SPREAD + F.when(F.coalesce(own, F.lit(True)), turn).otherwise(F.lit(0).cast("long"))).drop("_value", "_part")
 
 
 def op6(df: DataFrame, k: int = K, width: int = WIDTH) -> DataFrame:
@@ -134,7 +143,7 @@ def op6(df: DataFrame, k: int = K, width: int = WIDTH) -> DataFrame:
     """
     rows = text_frame(df).withColumn("text", F.coalesce("text", F.lit(""))).withColumn("tie", F.xxhash64("text"))
     n = shuffle_count(df.sparkSession)
-    dealt = parted(rows, "doc_id", 4 * n).repartition(n, "part")
+    dealt = parted(rows, "doc_id", "tie", 4 * n).repartition(n, "part")
 
     def run(batches):
         held = None
