@@ -7,7 +7,9 @@ nearest codewords are close is flagged as ambiguous.
 
 Training takes at most max_per_language documents of each language, or fewer so that all are max_train; one of each language
 at least, however many there are. They are picked by a hash of doc_id and text, and rows with equal ones count once. Texts that are null or have no letter give `und`, score 0; so does everything when no
-language can be learned. Repeated rows each give their own row; ties between codewords go to the first language.
+language can be learned. Repeated rows and rows with null or equal doc_ids each give their own row, an empty table none; ties between
+codewords go to the first language. Very long texts are taken whole. Other columns are not looked at, or carried along by
+keep_identified, whatever their names.
 """
 
 from __future__ import annotations

@@ -5,7 +5,9 @@ rolling gear hash over the payload cuts it where the hash's low bits are zero, b
 Chunks go by digest: Spark joins keep one copy of each in the store, a manifest lists a medium's digests in order, and a
 medium is put together from its manifest, every chunk and the whole checked by digest, before features are computed.
 
-Null texts are empty (one payload block of spaces). Equal texts share one medium. A wrong chunk raises an error.
+Null texts are empty (one payload block of spaces). Equal texts share one medium. A wrong chunk raises an error. Rows with null or equal
+doc_ids each give their row; an empty table none. A very long text has as many chunks as it needs; they meet in the task that puts the
+medium together. Other columns are not looked at, whatever their names.
 """
 
 from __future__ import annotations

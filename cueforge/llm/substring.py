@@ -8,7 +8,12 @@ that contain them; the extended windows' 128-bit hashes are counted exactly in t
 that occurs elsewhere, same document included, form the maximal repeats that are removed.
 
 A common passage sends one entry per chunk and hash, whatever number of documents has it. Null texts have no words;
-texts shorter than the window lose nothing. Repeated rows repeat all their windows. Hashes are of whole words, unchanged.
+texts shorter than the window lose nothing. Repeated rows repeat all their windows. Hashes are of whole words, unchanged. Rows with null
+or equal doc_ids each give their row; an empty table none. A very long text is a chunk of its own. Other columns are carried along as they
+are, whatever their names.
+
+A row of the exchange is a chunk's part in a range, so rows grow with the product of both numbers until each holds few hashes. For
+corpora of many TB give a larger chunk_bytes, with the workers' memory in mind.
 """
 
 from __future__ import annotations
