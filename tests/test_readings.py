@@ -14,6 +14,7 @@ from cueforge.operators.intervals import align_overlap, first_later
 from cueforge.operators.phonetic import SYLLABLES, Readings, is_homophone, phrase_syllables, readings, syllable_map
 from cueforge.operators.replies import apply_fixes, parse_correction, parse_fixes, rejected_fixes
 from cueforge.plans import cli, pipelines
+from cueforge.plans.queries import ODD_FILE
 from cueforge.sources.readings import collected, read, read_readings
 from cueforge.sources.srt import parse_cues
 
@@ -79,11 +80,7 @@ def test_a_small_track_is_fixed(spark):
 
 
 def test_odd_file(spark):
-    text = (
-        "﻿1\r\n00:00:01,000 --> 00:00:02,500\r\nFirst line\r\nsecond line\r\n\r\n+2\n00:00:03.000-->00:00:04.000 position:10%\n<i> lean</i> text\n\n\n3\n 00:00:05,000 --> 00:00:06,000\nindented time line\n\n"
-        "4\n00:00:07,000 --> 00:00:08,000\n\nfive\n00:00:09,000 --> 00:00:10,000\nno number\n\n6\n00:00:11,000 --> 00:00:12,000\n<b></b>\n\n1_0\n01:00:00,007 --> 00:59:59,000\n1984\n"
-    )
-    got = parse_cues(spark.createDataFrame([("odd", text)], "file_id string, value string"))
+    got = parse_cues(spark.createDataFrame([("odd", ODD_FILE)], "file_id string, value string"))
     assert [tuple(r) for r in got.select("ordinal", "index", "start_ms", "end_ms", "text").orderBy("ordinal").collect()] == [(1, 1, 1000, 2500, "First line second line"), (2, 2, 3000, 4000, " lean text"), (3, 6, 11000, 12000, ""), (4, 10, 3600007, 3599000, "1984")]
 
 
