@@ -4,7 +4,8 @@ A plain overlap condition would compare every pair of a file. Here each interval
 an equi-join on (file, level, bin) brings together only neighbours. Bins come in levels, each WIDER times wider than the
 one below: an interval's home is the first level where it covers at most WIDER bins, and it is entered there and at the
 wider levels, so a very long cue costs no more than others. A pair meets at the higher of its homes, in the bin of the
-later start: once. One file may hold most of the cues, since bins deal it out by time.
+later start: once. In wide bins only intervals that are at home there meet others. One file may hold most of the cues, since bins deal
+it out by time.
 """
 
 from __future__ import annotations
@@ -34,16 +35,16 @@ def near(s1: Column | str, e1: Column | str, s2: Column | str, e2: Column | str,
     return (overlap_ms(s1, e1, s2, e2) > 0) | (distance_ms(s1, e1, s2, e2) <= window_ms)
 
 
-def _binned(df: DataFrame, lo: Column, hi: Column, bin_ms: int) -> DataFrame:
-    """df with lo, and a row for each (level, bin) that it is entered at; home is its own level."""
+def _binned(df: DataFrame, lo: Column, hi: Column, bin_ms: int, own: str, wide: str) -> DataFrame:
+    """df with lo, and a row for each (level, bin, turn) that it is entered at: for each letter of own at its home level, of wide above."""
     widths = [bin_ms * WIDER**k for k in range(LEVELS)]
     bins = lambda w: (F.floor(hi / w) - F.floor(lo / w)).cast("long")
     home = F.lit(LEVELS - 1)
     for k in range(LEVELS - 2, -1, -1):
         home = F.when(bins(widths[k]) < WIDER, k).otherwise(home)
-    entry = lambda k, w: F.transform(F.sequence(F.floor(lo / w), F.floor(hi / w)), lambda b: F.struct(F.lit(k).alias("level"), b.cast("long").alias("bin")))
-    none = F.array().cast("array<struct<level:int,bin:bigint>>")
-    entries = F.concat(*[F.when(F.col("home") <= k, entry(k, w)).otherwise(none) for k, w in enumerate(widths)])
+    entry = lambda k, w, turn: F.transform(F.sequence(F.floor(lo / w), F.floor(hi / w)), lambda b: F.struct(F.lit(k).alias("level"), b.cast("long").alias("bin"), F.lit(turn).alias("turn")))
+    none = F.array().cast("array<struct<level:int,bin:bigint,turn:string>>")
+    entries = F.concat(*[F.when(F.col("home") == k, entry(k, w, t)).otherwise(none) for k, w in enumerate(widths) for t in own], *[F.when(F.col("home") < k, entry(k, w, t)).otherwise(none) for k, w in enumerate(widths) for t in wide])
     return df.withColumns({"lo": lo, "home": home}).withColumn("at", F.explode(entries))
 
 
@@ -53,16 +54,17 @@ def pairs(cues: DataFrame, refs: DataFrame, window_ms: int = 0, bin_ms: int = 10
     Columns: file_id, ordinal, start_ms, end_ms of the cue, and r_ordinal, r_start, r_end, r_text of the reference.
     """
     left = cues.select("file_id", "ordinal", "start_ms", "end_ms")
-    left = _binned(left, F.least("start_ms", "end_ms"), F.greatest("start_ms", "end_ms"), bin_ms).select("file_id", "ordinal", "start_ms", "end_ms", "lo", "home", "at.level", "at.bin")
+    # one of a pair is at home where it meets the other (turn a: the cue, turn b: only the reference), so two short ones never meet in a wide bin
+    left = _binned(left, F.least("start_ms", "end_ms"), F.greatest("start_ms", "end_ms"), bin_ms, "a", "b").select("file_id", "ordinal", "start_ms", "end_ms", "lo", "at.level", "at.bin", "at.turn")
     right = refs.select("file_id", F.col("ordinal").alias("r_ordinal"), F.col("start_ms").alias("r_start"), F.col("end_ms").alias("r_end"), F.col("text").alias("r_text"))
-    right = _binned(right, F.least("r_start", "r_end") - window_ms, F.greatest("r_start", "r_end") + window_ms, bin_ms).select("file_id", "r_ordinal", "r_start", "r_end", "r_text", F.col("lo").alias("r_lo"), F.col("home").alias("r_home"), "at.level", "at.bin")
+    right = _binned(right, F.least("r_start", "r_end") - window_ms, F.greatest("r_start", "r_end") + window_ms, bin_ms, "ab", "a").select("file_id", "r_ordinal", "r_start", "r_end", "r_text", F.col("lo").alias("r_lo"), "at.level", "at.bin", "at.turn")
     width = F.lit(bin_ms) * F.pow(F.lit(WIDER), F.col("level")).cast("long")
     # few bytes make many pairs here, which a plan that goes by bytes would put into one task
     n = int(cues.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left = left.repartition(n, "file_id", "level", "bin")
-    once = (F.col("level") == F.greatest("home", "r_home")) & (F.col("bin") == F.floor(F.greatest("lo", "r_lo") / width))
+    left = left.repartition(n, "file_id", "level", "bin", "turn")
+    once = F.col("bin") == F.floor(F.greatest("lo", "r_lo") / width)
     match = near("start_ms", "end_ms", "r_start", "r_end", window_ms) if window_ms else overlap_ms("start_ms", "end_ms", "r_start", "r_end") > 0
-    return left.join(right, ["file_id", "level", "bin"]).filter(once & match).drop("level", "bin", "lo", "home", "r_lo", "r_home")
+    return left.join(right, ["file_id", "level", "bin", "turn"]).filter(once & match).drop("level", "bin", "turn", "lo", "r_lo")
 
 
 def align_overlap(cues: DataFrame, refs: DataFrame, strict_order: bool = False, bin_ms: int = 10_000) -> DataFrame:
