@@ -257,11 +257,15 @@ def _count_bigrams(u: Unigrams, table: pa.Table) -> pa.Table:
     own = h[first][by]
     mass = np.add.reduceat(np.where(c > 0, u.p(count_w[order][first]), 0.0), by)
     small = np.stack([np.add.reduceat((c == r).astype(np.int64), by) for r in range(1, K + 1)], 1)
+    types = np.add.reduceat((c > 0).astype(np.int64), by)
     out, at, is_hot = [], 0, {}
     for r, s, hd, f in zip(rows, size, head, hot, strict=True):
         n = int(s.sum())
         i = np.searchsorted(own, hd[~f])
-        out.append((r["chunk"], 2, r["range"], narrow(total[at : at + n]), mass[i].tobytes(), narrow(small[i].ravel()), None, None))
+        # a chunk that has all of a history's seen continuations adds up their sums itself: a bit tells it so
+        whole = np.add.reduceat((total[at : at + n] > 0).astype(np.int64), np.cumsum(s) - s)[~f] == types[i]
+        i = i[~whole]
+        out.append((r["chunk"], 2, r["range"], narrow(total[at : at + n]), np.packbits(whole).tobytes() + mass[i].tobytes(), narrow(small[i].ravel()), None, None))
         is_hot |= dict.fromkeys(hd[f].tolist())
         at += n
     for x in is_hot:
@@ -297,9 +301,14 @@ class Model:
         hot = g.hot[g.heads]
         for k, own, heads in g.spans():
             r = by[k]
-            count[own] = widen(r["a"]).astype(np.int64)
-            i = g.run[heads][~hot[g.run[heads]]]
-            mass[i] = np.frombuffer(r["b"], np.float64)
+            c = count[own] = widen(r["a"]).astype(np.int64)
+            i, first = g.run[heads], heads - own.start
+            mass[i] = np.add.reduceat(np.where(c > 0, self.u.p(g.count_w[own]), 0.0), first)
+            small[i] = np.stack([np.add.reduceat((c == v).astype(np.int64), first) for v in range(1, K + 1)], 1)
+            i = i[~hot[i]]
+            bits = -(-len(i) // 8)
+            i = i[~np.unpackbits(np.frombuffer(r["b"][:bits], np.uint8), count=len(i)).astype(bool)]
+            mass[i] = np.frombuffer(r["b"][bits:], np.float64)
             small[i] = widen(r["c"]).astype(np.int64).reshape(-1, K)
         for i in np.flatnonzero(hot).tolist():
             mass[i], small[i] = self.hot[int(g.history[g.heads[i]])]
