@@ -10,10 +10,14 @@ costs no pairs. Tasks return a spanning forest, and alternating large-star and s
 Near copies by similarity (near_components) take wide fingerprints of the set of five-word shingles. At a similarity of 0.8
 these differ in 39 of 256 places, too many for blocks of equal places; a task gets its fingerprints by the shingles' least hashes
 instead. KEYS such keys are shared by none of two texts of that similarity once in ten million times. Fingerprints only find
-candidates, with a wide margin; the sets of a group of candidates meet in one task, and there a link needs their true similarity.
+candidates, with a wide margin; the sets of a group of candidates meet, and there a link needs their true similarity.
+
+A group that is too large for a task, of one block value, key or candidate component, is dealt out: see links. Nothing is left out for it.
 
 Null texts are empty; texts without words have fingerprint zero and link like any other. Equal fingerprints are one node,
-whatever number of rows has them. A component's id is the least doc_id that is not null.
+whatever number of rows has them. A component's id is the least doc_id that is not null. Repeated rows and rows with null or equal
+doc_ids each give their row; an empty table none. Very long texts are taken whole. Ties (a bit set in just half the hashes) are 0.
+Other columns are not looked at, or carried along by keep_one, whatever their names.
 """
 
 from __future__ import annotations
@@ -37,12 +41,12 @@ FAN = 16
 #: Wide fingerprints: 64-bit words, least-hash keys, words of a shingle, and the similarity of near copies.
 WIDE, KEYS, NEAR_WIDTH, SIMILARITY = 4, 10, 5, 0.8
 QUERIES = 1024
-#: Rows of small groups that a worker takes at once; rows, or bytes of sets, of a group that one task takes.
-SLAB, BLOCK_ROWS, BLOCK_BYTES = 1 << 15, 1 << 13, 8 << 20
+#: Rows of small groups that a worker takes at once; rows, or bytes of sets, of a group that one task takes; what a set counts for besides its bytes.
+SLAB, BLOCK_ROWS, BLOCK_BYTES, SET_BYTES = 1 << 15, 1 << 13, 8 << 20, 16 << 10
 #: Rows of a larger group that all its blocks see, and how often such a group is split by further keys before blocks meet blocks.
 LEADERS, REFINE = 8, 2
 #: Edges that are joined in one task.
-FEW = 5000
+FEW = 20_000
 _ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -331,15 +335,16 @@ def links(rows: DataFrame, run, limit: int, others: DataFrame | None = None, lev
     leaders = large.groupBy("group", F.pmod("spot", F.lit(LEADERS)).alias("turn")).agg(F.min_by(row, "spot").alias("row")).select("group", "row.*")
     leaders = leaders.withColumn("slot", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("group", block(F.col("slot").cast("long"))).select("group", *given)
     members = large.withColumn("group", block(F.pmod(F.shiftright("spot", 8), F.col("blocks")))).select("group", *given)
-    found = saved(dealt(small).unionByName(dealt(members.unionByName(leaders))))
-    # what is joined by now, labels that rows came with included
+    inner = saved(dealt(members.unionByName(leaders)))
+    found = dealt(small).unionByName(inner)
+    # what is joined by now within these groups, labels that rows came with included
     came = large.filter("label <> node").select(F.greatest("label", "node").alias("a"), F.least("label", "node").alias("b"))
-    roots = saved(connected(found.unionByName(came)))
+    roots = connected(inner.unionByName(came))
     placed = saved(large.drop("label").join(roots.select("node", F.col("root").alias("label")), "node", "left").withColumn("label", F.coalesce("label", "node")))
     parts = placed.groupBy("group", "label").agg(F.count("*").alias("n"), F.sum("weight").alias("w"))
     apart = saved(parts.groupBy("group").agg(F.max_by("label", F.struct("n", "label")).alias("most"), F.sum("w").alias("w"), F.max_by("w", F.struct("n", "label")).alias("w_most"), F.count("*").alias("k")).filter("k > 1").select("group", "most", F.ceil((F.col("w") - F.col("w_most")) / limit).cast("long").alias("turns")))
     if apart.isEmpty():
-        return found
+        return saved(found)
     left = placed.join(F.broadcast(apart), "group").withColumn("minor", F.col("label") != F.col("most"))
     if others is not None and level < REFINE:
         used = F.col("used") if level else F.array("group")
@@ -473,7 +478,7 @@ def wide_fingerprints(df: DataFrame, width: int = NEAR_WIDTH) -> DataFrame:
         kept = [np.unique((own >> np.uint64(32)).astype("<u4")).tobytes() for own in sets]
         return {"doc_id": part.column(0), "text_hash": part.column(2), "fp": pa.array([r.tobytes() for r in fp], pa.binary()), "keys": pa.array(keys.view(np.int64).tolist(), pa.list_(pa.int64())), "node": pa.array(node), "shingles": pa.array(kept, pa.binary())}
 
-    return mapped(text_frame(df).withColumn("text_hash", F.xxhash64("text")), rows, "doc_id long, text_hash long, fp binary, keys array<long>, node long, shingles binary", 1 << 21)
+    return mapped(text_frame(df).withColumn("text_hash", F.xxhash64("text")), rows, "doc_id long, text_hash long, fp binary, keys array<long>, node long, shingles binary", 1 << 20)
 
 
 def set_similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -495,12 +500,10 @@ def near_groups(df: DataFrame, similarity: float, width: int) -> tuple[DataFrame
     bits = places_apart(similarity)
     keyed = nodes.select(F.explode("keys").alias("group"), "node", F.col("node").alias("label"), "fp", F.lit(1).alias("weight"))
     wide = connected(links(keyed, _wide_links(bits, None), BLOCK_ROWS, nodes.select("node", "keys")))
-    wide = wide.unionByName(wide.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("root", "group")
-    wide = saved(wide.join(nodes.select("node", "n"), "node"))
-    # the sets of those nodes that have a candidate, once each
-    sets = keyed_join(own.select("node", "fp", "shingles"), wide, "node", own.count())
-    sets = saved(sets.groupBy("node", "group").agg(F.first("fp").alias("fp"), F.first("shingles").alias("shingles")))
-    sets = sets.select("group", "node", F.col("node").alias("label"), "fp", "shingles", F.length("shingles").alias("weight"))
+    wide = saved(wide.unionByName(wide.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("root", "group"))
+    # copies are put together before the shuffle; then only nodes that have a candidate stay
+    sets = saved(own.groupBy("node").agg(F.first("fp").alias("fp"), F.first("shingles").alias("shingles")).join(wide, "node"))
+    sets = sets.select("group", "node", F.col("node").alias("label"), "fp", "shingles", (F.length("shingles") + SET_BYTES).alias("weight"))
     return own.select("doc_id", "text_hash", "node"), labelled(nodes.select("node", "least", "n"), connected(links(sets, _wide_links(bits, similarity), BLOCK_BYTES)))
 
 

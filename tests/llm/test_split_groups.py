@@ -55,6 +55,7 @@ def hot_texts():
 def test_near_copies_in_split_groups(spark, rows, size, refine, monkeypatch):
     monkeypatch.setattr(simhash, "BLOCK_ROWS", rows)
     monkeypatch.setattr(simhash, "BLOCK_BYTES", size)
+    monkeypatch.setattr(simhash, "SET_BYTES", 0)
     monkeypatch.setattr(simhash, "REFINE", refine)
     monkeypatch.setattr(simhash, "LEADERS", 2)
     texts = hot_texts()
