@@ -6,7 +6,7 @@ each codeword, weighted by how reliable the bit was in training, and takes the n
 nearest codewords are close is flagged as ambiguous.
 
 Training takes at most max_per_language documents of each language, or fewer so that all are max_train; one of each language
-at least, however many there are. They are picked by a hash of doc_id and text, and rows with equal ones count once. Texts that are null or have no letter give `und`, score 0; so does everything when no
+at least, however many there are up to MOST_LANGUAGES. They are picked by a hash of doc_id and text, and rows with equal ones count once. Texts that are null or have no letter give `und`, score 0; so does everything when no
 language can be learned. Repeated rows and rows with null or equal doc_ids each give their own row, an empty table none; ties between
 codewords go to the first language. Very long texts are taken whole. Other columns are not looked at, or carried along by
 keep_identified, whatever their names.
@@ -29,6 +29,8 @@ ORDERS = (1, 2, 3, 4)
 #: Bounds of the training sample: documents in all (unless there are more languages), and for one language.
 MAX_TRAIN = 3000
 MAX_PER_LANGUAGE = 600
+#: More values of lang than this are no languages, and too many for the driver: an error.
+MOST_LANGUAGES = 10_000
 #: Texts whose decoding margin is below this are ambiguous.
 AMBIGUOUS = 0.1
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -143,7 +145,9 @@ def train(df: DataFrame, max_train: int = MAX_TRAIN, max_per_language: int = MAX
     """Learns from text and lang of rows with a lang: of each language max_per_language of them, or its share of max_train; one at least."""
     rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).filter("lang is not null")
     rows = rows.withColumn("draw", F.xxhash64("doc_id", "text", F.lit("train")))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("draw").alias("first")).collect()
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("draw").alias("first")).limit(MOST_LANGUAGES + 1).collect()
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"lang has more than {MOST_LANGUAGES} values")
     if not counts:
         return fit(np.zeros((0, DIMENSIONS), np.float32), [])
     each = max(1, min(max_per_language, max_train // len(counts)))

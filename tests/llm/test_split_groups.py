@@ -107,6 +107,12 @@ def test_without_labels_the_language_stage_keeps_texts(spark):
     assert sorted(str(r["doc_id"]) for r in got) == ["1", "1", "None"] and all(r["lang"] is None for r in got)
 
 
+def test_too_many_languages_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 5)
+    with pytest.raises(ValueError):
+        langid.train(docs(spark, ["a"] * 6, langs=list("abcdef")))
+
+
 def test_decoding_is_loss_weighted():
     """The prediction is the codeword of least weighted logistic loss, by plain loops."""
     rng = random.Random(43)
