@@ -132,3 +132,20 @@ def test_first_later_reference(spark, bin_ms):
                 if min(c[3], r[3]) - max(c[2], r[2]) > 0:
                     texts.append(r[4])
         assert strict[c[:2]] == " ".join(texts)
+
+
+def test_short_intervals_never_meet_in_wide_bins(spark):
+    """Candidates of a long file grow with its cues, not with their square; a few very long cues don't change that."""
+    from cueforge.operators.intervals import _binned, pairs
+
+    n = 2000
+    rows = spark.range(n).select(F.lit("f").alias("file_id"), F.col("id").cast("int").alias("ordinal"), (F.col("id") * 1000).alias("start_ms"), (F.col("id") * 1000 + F.when(F.col("id") % 500 == 7, 5_000_000).otherwise(900)).alias("end_ms"), F.lit("t").alias("text"))
+    lo, hi = F.col("start_ms"), F.col("end_ms")
+    left = _binned(rows, lo, hi, 10_000, "a", "b").select("ordinal", "at.level", "at.bin", "at.turn")
+    right = _binned(rows, lo, hi, 10_000, "ab", "a").select(F.col("ordinal").alias("r"), "at.level", "at.bin", "at.turn")
+    assert left.join(right, ["level", "bin", "turn"]).count() < 60 * n
+    got = pairs(rows, rows.withColumn("start_ms", lo + 500).withColumn("end_ms", hi + 500))
+    long = [k for k in range(n) if k % 500 == 7]
+    spans = [(k * 1000, k * 1000 + (5_000_000 if k % 500 == 7 else 900)) for k in range(n)]
+    want = sum(min(b, d + 500) - max(a, c + 500) > 0 for k, (a, b) in enumerate(spans) for c, d in (spans if k in long else [spans[j] for j in {*range(max(0, k - 2), min(n, k + 2)), *long}]))
+    assert got.count() == want
