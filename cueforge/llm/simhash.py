@@ -519,16 +519,18 @@ def keep_one(df: DataFrame, similarity: float = SIMILARITY, width: int = NEAR_WI
 
     Rows without doc_id are groups of their own, beside copies that have one. Of rows with equal doc_id and text any one stays.
     """
-    names = []
-    for name in ("kept_id", "kept_hash", "own_id", "own_hash"):
+    keys = []
+    for name in ("no_id", "id", "hash"):
         while name in df.columns:
             name += "_"
-        names.append(name)
-    kept_id, kept_hash, own_id, own_hash = names
+        keys.append(name)
+    no_id, own_id, own_hash = keys
     rows, placed = near_groups(df, similarity, width)
     named = placed.filter("not component_id.nameless").select("component_id.doc_id", "component_id.text_hash").distinct()
     nameless = keyed_join(rows.filter("doc_id is null"), placed, "node", rows.count()).groupBy("component_id").agg(F.min("text_hash").alias("text_hash"))
-    kept = named.unionByName(nameless.select(F.lit(None).cast("long").alias("doc_id"), "text_hash")).toDF(kept_id, kept_hash)
-    own = df.withColumn(own_id, F.col("doc_id").cast("long")).withColumn(own_hash, F.xxhash64(F.col("text").cast("string")))
-    there = F.col(own_id).eqNullSafe(F.col(kept_id)) & (F.col(own_hash) == F.col(kept_hash))
-    return own.join(kept, there, "left_semi").dropDuplicates([own_id, own_hash]).drop(own_id, own_hash)
+    kept = named.unionByName(nameless.select(F.lit(None).cast("long").alias("doc_id"), "text_hash"))
+    kept = kept.select(F.col("doc_id").isNull().alias(no_id), F.coalesce("doc_id", F.lit(0).cast("long")).alias(own_id), F.col("text_hash").alias(own_hash))
+    number = F.col("doc_id").cast("long")
+    own = df.withColumns({no_id: number.isNull(), own_id: F.coalesce(number, F.lit(0).cast("long")), own_hash: F.xxhash64(F.col("text").cast("string"))})
+    # equal rows are put together before the shuffle, and the join keeps its partitions: texts move once
+    return own.dropDuplicates(keys).join(kept, keys, "left_semi").select(*[f"`{c}`" for c in df.columns])
