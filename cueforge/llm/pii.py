@@ -71,12 +71,13 @@ _SIGNS = (
 _RULES = re.compile(rf"{_SIGNS}|(?P<number>(?<![A-Za-z])(?:{_NUMBER})(?![A-Za-z]))", re.IGNORECASE)
 #: Found where any of _SIGNS is: white space before a sign decides nothing.
 _SIGN = re.compile(_SIGNS.replace(_LEAD, "").replace(_GAP, r"\s"), re.IGNORECASE)
+_IN_SIGNS = (*"[({<", *_DOTS.split("|"), "arroba", "arobase", "plus")
 #: Four or more digits in a row, spelled or not.
 _SPELLED = re.compile(rf"(?<![A-Za-z0-9])(?:{_NUMBER}|[0-9]++)(?:(?:[ ,-]+|\s++(?:{_DOTS})\s++|\s*+{_OPEN}(?:{_DOTS}){_CLOSE}\s*+)(?:{_NUMBER}|[0-9]++)(?![A-Za-z])){{3,}}", re.IGNORECASE)
 #: Letters for digits: runs of digits and separators with O or l in them.
 _LETTERED = re.compile(r"(?<![A-Za-z0-9])[0-9OoIl][0-9OoIl .()-]{5,}[0-9OoIl](?![A-Za-z0-9])")
 _AS_DIGIT = {"O": "0", "o": "0", "I": "1", "l": "1"}
-_STRANGE = re.compile("[" + "".join(map(re.escape, sorted(set(LOOKALIKES) | _INVISIBLE))) + "٠-٩۰-۹०-९①-⑨²³¹⁰-₉﹫！-～\U0001d400-\U0001d7ff]")
+_STRANGE = re.compile("[" + "".join(map(re.escape, sorted(set(LOOKALIKES) | _INVISIBLE | set("ſİ")))) + "٠-٩۰-۹०-९①-⑨²³¹⁰-₉﹫！-～\U0001d400-\U0001d7ff]")
 
 
 def luhn(digits: str) -> bool:
@@ -172,7 +173,11 @@ def disguised(text: str) -> bool:
     """Whether the transducer changes the text: a search for its own rules, so that nothing it would rewrite is left out."""
     if not text.isascii() and _STRANGE.search(text):
         return True
-    return any(True for _ in _letters(text)) or bool(_SIGN.search(text)) or bool(_SPELLED.search(text))
+    if any(True for _ in _letters(text)) or _SPELLED.search(text):
+        return True
+    # every sign has a bracket or one of these words in it; texts whose case folds oddly are strange already
+    low = text.lower()
+    return any(s in low for s in _IN_SIGNS) and bool(_SIGN.search(text))
 
 
 def added(text: str, base: list[list[tuple[int, int]]]) -> list[list[tuple[int, int]]]:
