@@ -213,7 +213,10 @@ def _ask(t: Tokens, g: Bigrams, number: int) -> list[tuple]:
     for k, own, heads in g.spans():
         sizes = np.diff(np.append(heads, own.stop))
         word, first, place = np.unique(g.word[own], return_index=True, return_inverse=True)
-        out.append((k, number, ascending(g.history[heads]), ascending(word), narrow(g.count_w[own][first]), narrow(g.seen[own]), _two(sizes, g.hot[heads]), narrow(place)))
+        # a history's words ascend, so all but its first go as differences
+        step = np.diff(place, prepend=0)
+        step[heads - own.start] = place[heads - own.start]
+        out.append((k, number, ascending(g.history[heads]), ascending(word), narrow(g.count_w[own][first]), narrow(g.seen[own]), _two(sizes, g.hot[heads]), narrow(step)))
     return out
 
 
@@ -222,6 +225,12 @@ def _sizes(b: bytes) -> tuple[np.ndarray, np.ndarray]:
     return widen(b[4 : 4 + at]), widen(b[4 + at :])
 
 
+def _places(step: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """What _ask's differences stand for."""
+    total, first = np.cumsum(step), np.cumsum(sizes) - sizes
+    return total - np.repeat(total[first] - step[first], sizes)
+
+
 def _two(a: np.ndarray, b: np.ndarray) -> bytes:
     first = narrow(a)
     return len(first).to_bytes(4, "little") + first + narrow(b)
@@ -238,7 +247,7 @@ def _count_bigrams(u: Unigrams, table: pa.Table) -> pa.Table:
         s, f = _sizes(r["e"])
         h = unascending(r["a"])
         size.append(s.astype(np.int64)), head.append(h), hot.append(f.astype(bool)), hist.append(np.repeat(h, s.astype(np.int64)))
-    place = [widen(r["f"]).astype(np.int64) for r in rows]
+    place = [_places(widen(r["f"]).astype(np.int64), s) for r, s in zip(rows, size, strict=True)]
     history, word = np.concatenate(hist), np.concatenate([unascending(r["b"])[i] for r, i in zip(rows, place, strict=True)])
     count_w = np.concatenate([widen(r["c"])[i] for r, i in zip(rows, place, strict=True)]).astype(np.int64)
     seen = np.concatenate([widen(r["d"]) for r in rows]).astype(np.int64)
