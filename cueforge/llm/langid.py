@@ -26,6 +26,8 @@ from .common import buffers, mapped, mix, small_batches, text_frame
 
 DIMENSIONS = 1 << 12
 ORDERS = (1, 2, 3, 4)
+#: Texts whose features are in memory at once.
+BLOCK = 256
 #: Bounds of the training sample: documents in all (unless there are more languages), and for one language.
 MAX_TRAIN = 3000
 MAX_PER_LANGUAGE = 600
@@ -46,7 +48,7 @@ def features(texts: pa.Array) -> np.ndarray:
     # blocks of texts keep the temporary arrays small
     at = 0
     while at < n:
-        to = max(at + 1, int(np.searchsorted(off[1:], off[at] + (1 << 20), "right")))
+        to = min(at + BLOCK, max(at + 1, int(np.searchsorted(off[1:], off[at] + (1 << 20), "right"))))
         b = _FOLD[buf[off[at] : off[to]]]
         own = off[at : to + 1] - off[at]
         doc = np.repeat(np.arange(to - at), np.diff(own))
@@ -104,7 +106,8 @@ class Model:
         letter = has_letter(texts)
         if not self.languages:
             return ["und"] * n, np.zeros(n), np.zeros(n, bool)
-        margin = features(texts) @ self.weights + self.bias
+        # in blocks, as a slice of short texts has many rows of DIMENSIONS
+        margin = np.concatenate([features(texts.slice(at, BLOCK)) @ self.weights + self.bias for at in range(0, n, BLOCK)] or [np.zeros((0, self.weights.shape[1]))])
         loss = np.stack([(np.logaddexp(0, -margin * c) * self.trust).sum(1) for c in self.codes], 1) / self.trust.sum()
         p = np.exp(-(loss - loss.min(1, keepdims=True)) * self.scale)
         p /= p.sum(1, keepdims=True)
@@ -160,8 +163,10 @@ def train(df: DataFrame, max_train: int = MAX_TRAIN, max_per_language: int = MAX
         from .common import slices
 
         for part in slices(batches):
-            x = features(part.column(1)).astype(np.float16)
-            yield pa.RecordBatch.from_pydict({"draw": part.column(0), "lang": part.column(2), "x": pa.array([r.tobytes() for r in x], pa.binary())})
+            for at in range(0, part.num_rows, BLOCK):
+                own = part.slice(at, BLOCK)
+                x = features(own.column(1)).astype(np.float16)
+                yield pa.RecordBatch.from_pydict({"draw": own.column(0), "lang": own.column(2), "x": pa.array([r.tobytes() for r in x], pa.binary())})
 
     got = drawn.mapInArrow(vectors, "draw long, lang string, x binary").toArrow().sort_by([("lang", "ascending"), ("draw", "ascending")])
     lang = got["lang"].to_pylist()
