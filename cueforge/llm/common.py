@@ -55,6 +55,17 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def saved_anew(df: DataFrame) -> DataFrame:
+    """As saved, but its size is unknown to Spark's estimates, as that of a plain RDD.
+
+    A checkpoint keeps the estimate of the plan that it cuts off, and a join's is the product of its sides'. Over rounds of joins
+    the estimate gets numbers of millions of digits, which fill the driver's memory.
+    """
+    df = saved(df)
+    spark, plan = df.sparkSession, df._jdf.queryExecution().analyzed()
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(plan.rdd(), df._jdf.schema(), False), spark)
+
+
 def small_batches(df: DataFrame) -> DataFrame:
     """df; from now on Arrow batches between Spark and Python have at most BATCH_BYTES, unless the session has set any bound.
 

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import M1, M2, buffers, keyed_join, mapped, mix, saved, shuffle_count, span_hashes, text_frame, windows, within, words
+from .common import M1, M2, buffers, keyed_join, mapped, mix, saved_anew, shuffle_count, span_hashes, text_frame, windows, within, words
 
 BITS = 2
 WIDTH = 3
@@ -325,39 +325,39 @@ def links(rows: DataFrame, run, limit: int, others: DataFrame | None = None, lev
     def dealt(df: DataFrame) -> DataFrame:
         return df.select("group", *given).repartition(n, "group").sortWithinPartitions("group").mapInArrow(run, LINK)
 
-    big = saved(rows.groupBy("group").agg(F.sum("weight").alias("total")).filter(F.col("total") > limit).select("group", F.ceil(F.col("total") / limit).cast("long").alias("blocks")))
+    big = saved_anew(rows.groupBy("group").agg(F.sum("weight").alias("total")).filter(F.col("total") > limit).select("group", F.ceil(F.col("total") / limit).cast("long").alias("blocks")))
     if big.isEmpty():
-        return saved(dealt(rows))
+        return saved_anew(dealt(rows))
     small = rows.join(F.broadcast(big.select("group")), "group", "left_anti")
-    large = saved(rows.join(F.broadcast(big), "group").withColumn("spot", F.xxhash64("node", F.lit(level))))
+    large = saved_anew(rows.join(F.broadcast(big), "group").withColumn("spot", F.xxhash64("node", F.lit(level))))
     block = lambda b: F.xxhash64("group", b)
     row = F.struct("spot", *given, "blocks")
     leaders = large.groupBy("group", F.pmod("spot", F.lit(LEADERS)).alias("turn")).agg(F.min_by(row, "spot").alias("row")).select("group", "row.*")
     leaders = leaders.withColumn("slot", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("group", block(F.col("slot").cast("long"))).select("group", *given)
     members = large.withColumn("group", block(F.pmod(F.shiftright("spot", 8), F.col("blocks")))).select("group", *given)
-    inner = saved(dealt(members.unionByName(leaders)))
+    inner = saved_anew(dealt(members.unionByName(leaders)))
     found = dealt(small).unionByName(inner)
     # what is joined by now within these groups, labels that rows came with included
     came = large.filter("label <> node").select(F.greatest("label", "node").alias("a"), F.least("label", "node").alias("b"))
     roots = connected(inner.unionByName(came))
-    placed = saved(large.drop("label").join(roots.select("node", F.col("root").alias("label")), "node", "left").withColumn("label", F.coalesce("label", "node")))
+    placed = saved_anew(large.drop("label").join(roots.select("node", F.col("root").alias("label")), "node", "left").withColumn("label", F.coalesce("label", "node")))
     parts = placed.groupBy("group", "label").agg(F.count("*").alias("n"), F.sum("weight").alias("w"))
-    apart = saved(parts.groupBy("group").agg(F.max_by("label", F.struct("n", "label")).alias("most"), F.sum("w").alias("w"), F.max_by("w", F.struct("n", "label")).alias("w_most"), F.count("*").alias("k")).filter("k > 1").select("group", "most", F.ceil((F.col("w") - F.col("w_most")) / limit).cast("long").alias("turns")))
+    apart = saved_anew(parts.groupBy("group").agg(F.max_by("label", F.struct("n", "label")).alias("most"), F.sum("w").alias("w"), F.max_by("w", F.struct("n", "label")).alias("w_most"), F.count("*").alias("k")).filter("k > 1").select("group", "most", F.ceil((F.col("w") - F.col("w_most")) / limit).cast("long").alias("turns")))
     if apart.isEmpty():
-        return saved(found)
+        return saved_anew(found)
     left = placed.join(F.broadcast(apart), "group").withColumn("minor", F.col("label") != F.col("most"))
     if others is not None and level < REFINE:
         used = F.col("used") if level else F.array("group")
         sub = left.withColumn("used", used).join(others, "node").withColumn("key", F.explode(F.array_except("keys", "used")))
         sub = sub.withColumn("group", F.xxhash64("group", "key")).withColumn("used", F.array_append("used", F.col("key")))
         unsettled = sub.filter("minor").select("group").distinct()
-        sub = saved(sub.join(unsettled, "group", "left_semi").select("group", *given, "weight", "used"))
-        return saved(found.unionByName(links(sub, run, limit, others, level + 1)))
+        sub = saved_anew(sub.join(unsettled, "group", "left_semi").select("group", *given, "weight", "used"))
+        return saved_anew(found.unionByName(links(sub, run, limit, others, level + 1)))
     side = F.pmod(F.shiftright("spot", 8), F.col("blocks"))
     whole = left.withColumn("turn", F.explode(F.sequence(F.lit(0).cast("long"), F.col("turns") - 1))).withColumn("slot", side)
     minor = left.filter("minor").withColumn("turn", F.pmod(F.shiftright("spot", 24), F.col("turns"))).withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     met = whole.unionByName(minor).withColumn("group", F.xxhash64("group", "turn", "slot")).select("group", *given)
-    return saved(found.unionByName(dealt(met)))
+    return saved_anew(found.unionByName(dealt(met)))
 
 
 def forest(fps: DataFrame, bits: int = BITS) -> DataFrame:
@@ -391,7 +391,7 @@ def connected(edges: DataFrame, most_steps: int | None = None) -> DataFrame:
     more than one in HOT of all edges is not joined by key: see keyed_join. Up to FEW edges take one task and no rounds. With
     most_steps it is an error if they have not settled by then.
     """
-    edges = saved(edges.distinct())
+    edges = saved_anew(edges.distinct())
     known = None
     for step in itertools.count():
         now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
@@ -403,28 +403,28 @@ def connected(edges: DataFrame, most_steps: int | None = None) -> DataFrame:
             raise RuntimeError(f"components have not settled in {most_steps} rounds")
         known = now["n"], now["s"]
         both = edges.union(edges.select("b", "a"))
-        least = saved(both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n"))
+        least = saved_anew(both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n"))
         large = keyed_join(both, least, "a", 2 * now["n"]).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
-        large = saved(large)
-        least = saved(large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")))
+        large = saved_anew(large)
+        least = saved_anew(large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")))
         small = keyed_join(large, least, "a", now["n"]).filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = saved(small.union(least.select("a", F.col("m").alias("b"))).distinct())
+        edges = saved_anew(small.union(least.select("a", F.col("m").alias("b"))).distinct())
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
 def labelled(nodes: DataFrame, roots: DataFrame) -> DataFrame:
     """node, component_id and n of each of nodes (node, least, n), saved; roots as connected gives them."""
-    roots = saved(roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct()))
+    roots = saved_anew(roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct()))
     members = roots.join(nodes, "node").select("node", "root", "least")
-    ids = saved(members.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n")))
+    ids = saved_anew(members.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n")))
     linked = keyed_join(roots, ids, "root", roots.count()).select("node", "component_id", F.lit(True).alias("linked"))
-    return saved(nodes.join(linked, "node", "left").select("node", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("least")).alias("component_id"), "n"))
+    return saved_anew(nodes.join(linked, "node", "left").select("node", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("least")).alias("component_id"), "n"))
 
 
 def components(df: DataFrame, bits: int = BITS, width: int = WIDTH) -> DataFrame:
     """doc_id, fp and component_id of each row of df."""
-    own = saved(fingerprints(df, width))
-    nodes = saved(own.groupBy(F.col("fp").alias("node")).agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
+    own = saved_anew(fingerprints(df, width))
+    nodes = saved_anew(own.groupBy(F.col("fp").alias("node")).agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
     roots = connected(forest(nodes.select(F.col("node").alias("fp")), bits))
     placed = labelled(nodes, roots).withColumnRenamed("node", "fp")
     return keyed_join(own, placed, "fp", own.count()).select("doc_id", "fp", "component_id")
@@ -494,15 +494,15 @@ def near_groups(df: DataFrame, similarity: float, width: int) -> tuple[DataFrame
 
     Nodes are known by a 64-bit hash of their sets. A component's id is its first row: (no doc_id, doc_id, text_hash), the least.
     """
-    own = saved(wide_fingerprints(df, width))
+    own = saved_anew(wide_fingerprints(df, width))
     row = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")
-    nodes = saved(own.groupBy("node").agg(F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.min(row).alias("least"), F.count("*").alias("n")))
+    nodes = saved_anew(own.groupBy("node").agg(F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.min(row).alias("least"), F.count("*").alias("n")))
     bits = places_apart(similarity)
     keyed = nodes.select(F.explode("keys").alias("group"), "node", F.col("node").alias("label"), "fp", F.lit(1).alias("weight"))
     wide = connected(links(keyed, _wide_links(bits, None), BLOCK_ROWS, nodes.select("node", "keys")))
-    wide = saved(wide.unionByName(wide.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("root", "group"))
+    wide = saved_anew(wide.unionByName(wide.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("root", "group"))
     # copies are put together before the shuffle; then only nodes that have a candidate stay
-    sets = saved(own.groupBy("node").agg(F.first("fp").alias("fp"), F.first("shingles").alias("shingles")).join(wide, "node"))
+    sets = saved_anew(own.groupBy("node").agg(F.first("fp").alias("fp"), F.first("shingles").alias("shingles")).join(wide, "node"))
     sets = sets.select("group", "node", F.col("node").alias("label"), "fp", "shingles", (F.length("shingles") + SET_BYTES).alias("weight"))
     return own.select("doc_id", "text_hash", "node"), labelled(nodes.select("node", "least", "n"), connected(links(sets, _wide_links(bits, similarity), BLOCK_BYTES)))
 

@@ -91,6 +91,27 @@ def test_hubs_of_many_edges(spark, monkeypatch):
     assert set(got.values()) == {0} and len(got) == 3499
 
 
+def estimated_bits(df):
+    return df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length()
+
+
+def test_rounds_do_not_multiply_size_estimates(spark, monkeypatch):
+    """Estimates of joins are products; carried from round to round they filled the driver's memory."""
+    monkeypatch.setattr(simhash, "FEW", 0)
+    names = random.Random(48).sample(range(10**6), 200)
+    chain = [(max(a, b), min(a, b)) for a, b in zip(names, names[1:])]
+    roots = simhash.connected(spark.createDataFrame(chain, "a long, b long"))
+    assert {(r["node"], r["root"]) for r in roots.collect()} == {(x, min(names)) for x in names if x != min(names)}
+    assert estimated_bits(roots) <= 64
+
+
+def test_levels_do_not_multiply_size_estimates(spark, monkeypatch):
+    for name, value in (("BLOCK_ROWS", 12), ("BLOCK_BYTES", 3000), ("SET_BYTES", 0), ("LEADERS", 2), ("FEW", 0)):
+        monkeypatch.setattr(simhash, name, value)
+    own, placed = simhash.near_groups(docs(spark, hot_texts()), simhash.SIMILARITY, simhash.NEAR_WIDTH)
+    assert max(map(estimated_bits, (own, placed))) <= 64
+
+
 def test_keep_one_keeps_one_row_of_every_group(spark):
     texts = hot_texts()
     want = set_components(texts)
