@@ -13,11 +13,10 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions.numbers import fixed
 from ..functions.strings import col, replace_first, strip, without_fences, without_reasoning
 from .phonetic import Readings, is_homophone, syllable_map
 
-CORRECTION = "corrected string, confidence double, notes string, status string, error string"
+CORRECTION = "corrected string, confidence double, notes string, status string, error string, number string"
 FIXES = "array<struct<wrong:string,correct:string,wrong_bad:boolean,correct_bad:boolean>>"
 LOW_CONFIDENCE = 0.75
 TEXT_CONFIDENCE = 0.7
@@ -28,8 +27,8 @@ def _text(v) -> str | None:
 
 
 def _correction(raw: str | None) -> dict:
-    """status: json, text (not JSON: use the reply itself) or error (JSON that isn't a correction)."""
-    none = {"corrected": None, "confidence": None, "notes": None, "status": "text", "error": None}
+    """status: json, text (not JSON: use the reply itself) or error (JSON that isn't a correction). number: a low confidence as text."""
+    none = {"corrected": None, "confidence": None, "notes": None, "status": "text", "error": None, "number": None}
     try:
         got = json.loads(raw or "")
     except ValueError:
@@ -37,7 +36,10 @@ def _correction(raw: str | None) -> dict:
     try:
         # a missing key has a default, an explicit null confidence has not
         corrected = got["corrected"] if "corrected" in got else "\0"
-        return {"corrected": _text(corrected), "confidence": float(got.get("confidence", 1.0)), "notes": _text(got.get("notes", "")), "status": "json", "error": None}
+        confidence = float(got.get("confidence", 1.0))
+        # the number is written for flagged rows alone, rounded as binary floating point is
+        number = f"{confidence:.2f}" if confidence < LOW_CONFIDENCE else None
+        return {"corrected": _text(corrected), "confidence": confidence, "notes": _text(got.get("notes", "")), "status": "json", "error": None, "number": number}
     except Exception as e:
         return none | {"status": "error", "error": str(e)}
 
@@ -45,7 +47,7 @@ def _correction(raw: str | None) -> dict:
 def _corrections(raw: Column) -> Column:
     @F.pandas_udf(CORRECTION)
     def run(raw: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([_correction(r) for r in raw], columns=["corrected", "confidence", "notes", "status", "error"])
+        return pd.DataFrame([_correction(r) for r in raw], columns=["corrected", "confidence", "notes", "status", "error", "number"])
 
     return run.asNondeterministic()(raw)
 
@@ -57,21 +59,23 @@ def parse_correction(raw: Column | str, noisy: Column | str, call_error: Column
     noisy, 0, flagged with the error. Confidence under 0.75: flagged with the notes or the number.
     """
     raw, noisy = without_fences(strip(F.coalesce(col(raw), F.lit("")))), col(noisy)
-    p = _corrections(raw)
-    failed = p["status"] == "error"
-    error = p["error"]
-    if call_error is not None:
-        error, failed = F.coalesce(call_error, error), call_error.isNotNull() | failed
-    low = (p["status"] == "json") & (p["confidence"] < LOW_CONFIDENCE)
-    # the number is written for flagged rows alone: others pass a null
-    number = fixed(F.when(low, p["confidence"]), 2)
-    said = F.when(p["notes"].isNotNull() & (p["notes"] != ""), p["notes"]).otherwise(F.concat(F.lit("Low confidence ("), number, F.lit(")")))
-    return F.struct(
-        F.when(failed, noisy).when(p["status"] == "text", F.when(raw != "", raw).otherwise(noisy)).when(p["corrected"] == "\0", noisy).otherwise(p["corrected"]).alias("corrected"),
-        F.when(failed, 0.0).when(p["status"] == "text", TEXT_CONFIDENCE).otherwise(p["confidence"]).alias("confidence"),
-        (failed | low).alias("flagged"),
-        F.when(failed, F.concat(F.lit("API error: "), error)).when(low, said).otherwise("").alias("flag_reason"),
-    )
+
+    def read(p: Column) -> Column:
+        failed = p["status"] == "error"
+        error = p["error"]
+        if call_error is not None:
+            error, failed = F.coalesce(call_error, error), call_error.isNotNull() | failed
+        low = (p["status"] == "json") & (p["confidence"] < LOW_CONFIDENCE)
+        said = F.when(p["notes"].isNotNull() & (p["notes"] != ""), p["notes"]).otherwise(F.concat(F.lit("Low confidence ("), p["number"], F.lit(")")))
+        return F.struct(
+            F.when(failed, noisy).when(p["status"] == "text", F.when(raw != "", raw).otherwise(noisy)).when(p["corrected"] == "\0", noisy).otherwise(p["corrected"]).alias("corrected"),
+            F.when(failed, 0.0).when(p["status"] == "text", TEXT_CONFIDENCE).otherwise(p["confidence"]).alias("confidence"),
+            (failed | low).alias("flagged"),
+            F.when(failed, F.concat(F.lit("API error: "), error)).when(low, said).otherwise("").alias("flag_reason"),
+        )
+
+    # by way of a list of one: a UDF's result that is named in many places of an expression is made anew for each
+    return F.transform(F.array(_corrections(raw)), read)[0]
 
 
 def _fix_list(raw: str | None) -> list[dict]:

@@ -1,6 +1,7 @@
 """Strings, phonetics, alignment, replies, flags and prompts."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -96,6 +97,14 @@ def test_corrections(spark):
     assert all(r[:3] == ("n", 0.0, True) and r[3].startswith("API error: ") for r in rows[1:4])
 
 
+def test_a_reply_is_decoded_once(spark):
+    rows = spark.createDataFrame([("f", 1, '{"confidence": 0.125}', None)], "file_id string, ordinal int, raw string, error string").withColumn("noisy", F.lit("n"))
+    out = rows.select(parse_correction("raw", "noisy", F.col("error")).alias("p")).select("p.*")
+    assert tuple(out.first()) == ("n", 0.125, True, "Low confidence (0.12)")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and set(re.findall(r"pythonUDF\d+", plan)) == {"pythonUDF0"}
+
+
 def test_fixes(spark):
     f = lambda t, raw: apply_fixes(F.lit(t), parse_fixes(F.lit(raw)))
     got = [tuple(value(spark, f(*x))) for x in [("他他", '[{"wrong":"他","correct":"它"},{"wrong":"他","correct":"它"}]'), ("他", '[{"wrong":"他","correct":7}]'), ("x", '[{"wrong":"他","correct":7}]'), ("他", '[{"wrong":true,"correct":"它"}]'), ("他", "nope"), ("他", '[["他","它"], null, {"correct":"它"}]')]]
